@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.exprs import c, is_fractional
-from riskloom.functions.sizing import checked_broadcast
+from riskloom.functions.sizing import freeze
 
 ONE_PASS_VALUES = 2_000_000  # rows x columns up to which one built-in percentile aggregate is used
 COLLECT_VALUES = 500_000  # distinct values the driver may look at per round
@@ -245,6 +245,6 @@ def dense_codes(df: DataFrame, name: str, rows_per_split: int = 200_000) -> Data
 
 def with_codes(df: DataFrame, name: str, out: str, codes: DataFrame) -> DataFrame:
     """Attach codes by value; missing and unseen values get -1."""
-    lookup = checked_broadcast(codes.select(F.col("value").alias("__v"), F.col("code").alias(out)))
+    lookup = freeze(codes.select(F.col("value").alias("__v"), F.col("code").alias(out)), "codes")
     return (df.join(lookup, c(name) == F.col("__v"), "left").drop("__v")
             .withColumn(out, F.coalesce(c(out), F.lit(-1))))

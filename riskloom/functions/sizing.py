@@ -5,30 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+from riskloom.session import materialize
 
+MAX_FROZEN_ROWS = 20_000
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Count rows and text bytes of at most ``max_rows + 1`` rows."""
-    width = sum((F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)) for n in df.columns), F.lit(0))
-    head = df.limit(max_rows + 1).select(width.alias("w"))
-    n, size = head.agg(F.count("*"), F.coalesce(F.sum("w"), F.lit(0))).first()
-    return n <= max_rows and size <= max_bytes
 
+def freeze(df: DataFrame, name: str, max_rows: int = MAX_FROZEN_ROWS) -> DataFrame:
+    """Compute a lookup table once and fix its contents.
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the table is measured small; otherwise leave a shuffle
-    join, whose hot keys adaptive execution splits (the lookup side is unique per key)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def freeze_small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
-    """Compute a lookup once: a small result becomes a local, broadcast table.
-
-    A larger one stays a plan and joins by shuffle.
+    Up to ``max_rows`` rows become a local table with a broadcast hint (the
+    count is the size check). A larger one is written to the shared folder and
+    joins by shuffle, where adaptive execution splits hot keys: a lookup has one
+    row per key, so only the other side can be skewed.
     """
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
-        return df
+        return materialize(df, name)
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

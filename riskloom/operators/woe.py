@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions.exprs import c, nan_to_null
 from riskloom.functions.order_stats import order_statistics
-from riskloom.functions.sizing import checked_broadcast
+from riskloom.functions.sizing import freeze
 from riskloom.operators.encode import filled
 
 MIN_IV = 0.02  # fixed value
@@ -131,7 +131,7 @@ class WoeModel:
         out = df
         for n in features:
             mine = self.table.where(F.col("feature") == n).select(F.col("bin").alias("__b"), F.col("woe").alias(f"{n}_woe"))
-            out = out.join(checked_broadcast(mine), bins[n].cast("string") == F.col("__b"), "left").drop("__b")
+            out = out.join(mine, bins[n].cast("string") == F.col("__b"), "left").drop("__b")
         base = df.columns if keep is None else keep
         return out.select(*[c(k) for k in base], *[F.coalesce(c(f"{n}_woe"), F.lit(0.0)).alias(f"{n}_woe") for n in features])
 
@@ -170,6 +170,6 @@ class Woe:
                 else:
                     edges[n] = width_edges(df, n, self.bins)
         model = WoeModel(df, [n for n in features if n not in edges], edges, self.key, {})
-        table = woe_of_counts(bin_counts(df, model.bin_exprs(), self.label))
+        table = freeze(woe_of_counts(bin_counts(df, model.bin_exprs(), self.label)), "woe-table")
         ivs = {r["feature"]: r["iv"] for r in information_values(table).collect()}  # one row per feature
         return WoeModel(table, model.categorical, edges, self.key, {n: ivs[n] for n in features if n in ivs})
