@@ -9,6 +9,7 @@ from riskloom.functions.exprs import c
 from riskloom.operators import metrics as M
 from riskloom.operators.aggregate import customer_aggregates
 from riskloom.operators.rfm import rfm
+from riskloom.operators.split import model_split as split_by_label
 from riskloom.plans import training as T
 from riskloom.session import materialize
 from riskloom.sources.transactions import txn_orders
@@ -108,6 +109,14 @@ def impute_and_scale(spark, sf_dir):
     return rounded(out.select("CustomerId", F.col("__n_Frequency").alias("Frequency"), F.col("__n_Amount_mean").alias("Amount_mean")))
 
 
+@query(f"""WITH {CUSTOMERS}, r AS (SELECT *, row_number() OVER (PARTITION BY HasFraud ORDER BY md5('42|' || CustomerId)) AS r, count(*) OVER (PARTITION BY HasFraud) AS n FROM cust)
+SELECT CustomerId, HasFraud, CASE WHEN r <= greatest(1, CAST(floor(n * 0.2) AS BIGINT)) THEN 'test' ELSE 'train' END AS part FROM r""")
+def model_split(spark, sf_dir):
+    """Train and test customers with the class shares kept."""
+    train, test = split_by_label(customers(spark, sf_dir).select("CustomerId", "HasFraud"), "HasFraud", ["CustomerId"])
+    return rounded(train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))))
+
+
 # small grids keep the registered runs short; the defaults of the training plan are the full grids
 SMALL_GRIDS = {
     "logistic": {"C": [0.1, 1]},

@@ -4,41 +4,82 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation, Summarizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import c, nan_to_null
 
-PAIRS_PER_PASS = 150  # keeps generated code below the JIT limit on wide tables
 
+def _cross_sums(df: DataFrame, cols: list[str], stats: dict) -> tuple[np.ndarray, list[str]]:
+    """Sums of products of standardised values z, presence marks m and squares q of all columns.
 
-def _correlation(a: str, b: str, complete: set[str]) -> Column:
-    """Null where either side is constant on the shared rows, instead of a division error."""
-    x, y = c(a).cast("double"), c(b).cast("double")
-    left = x if b in complete else F.when(y.isNotNull(), x)
-    right = y if a in complete else F.when(x.isNotNull(), y)
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(left) * F.stddev_pop(right))
-
+    Missing values enter as zeros, so ``sum z_i z_j`` covers exactly the rows
+    where both are present, and products with a mark restrict the other sums to
+    the same rows. One distributed pass over vectors yields every product.
+    """
+    names, parts = [], []
+    for n in cols:
+        _, mean, std, missing = stats[n]
+        z = (c(n).cast("double") - F.lit(mean)) / F.lit(std)
+        filled = F.coalesce(z, F.lit(0.0)) if missing else z
+        names += [f"z{n}", f"q{n}"]
+        parts += [filled, filled * filled]
+        if missing:
+            names.append(f"m{n}")
+            parts.append(c(n).isNotNull().cast("double"))
+    vectors = df.select(array_to_vector(F.array(*parts)).alias("v"))
+    summary = vectors.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).first()["s"]
+    n = float(summary["count"])
+    mean, std = summary["mean"].toArray(), np.sqrt(summary["variance"].toArray())
+    corr = Correlation.corr(vectors, "v").first()[0].toArray()  # columns x columns
+    cov = np.nan_to_num(corr) * np.outer(std, std) * (n - 1) / n
+    np.fill_diagonal(cov, std**2 * (n - 1) / n)
+    return n * (cov + np.outer(mean, mean)), names
 
-def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``a, b, corr`` for every unordered pair (a before b in the given order).
 
-    All pairs are plain mergeable aggregates, evaluated together; wide tables
-    are read in several passes, so persist the input when it has many columns.
-    """
-    df = nan_to_null(df.select(*[c(n) for n in cols]))
-    nulls = df.agg(*[F.count_if(c(n).isNull()).alias(n) for n in cols]).first().asDict()
-    complete = {n for n in cols if nulls[n] == 0}
+def correlations(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
+    """Coefficient per unordered pair; None where a side is constant on the shared rows."""
     pairs = list(combinations(cols, 2))
-    out = None
-    for i in range(0, len(pairs), PAIRS_PER_PASS):
-        row = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), _correlation(a, b, complete).alias("corr"))
-               for a, b in pairs[i:i + PAIRS_PER_PASS]]
-        part = df.agg(F.array(*row).alias("s")).select(F.inline("s"))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return df.sparkSession.createDataFrame([], "a string, b string, corr double")
-    return out
+    result: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
+    if not pairs:
+        return result
+    df = nan_to_null(df.select(*[c(n) for n in cols]))
+    row = df.agg(*[F.struct(F.count(c(n)).alias("n"), F.avg(c(n)).alias("m"), F.stddev_pop(c(n)).alias("s"),
+                            F.count_if(c(n).isNull()).alias("missing")).alias(n) for n in cols]).first()
+    stats = {n: tuple(row[n]) for n in cols}
+    varying = [n for n in cols if stats[n][2]]  # not empty, not constant
+    if len(varying) < 2:
+        return result
+    sums, names = _cross_sums(df, varying, stats)
+    at = {n: i for i, n in enumerate(names)}
+    rows = float(stats[varying[0]][0] + stats[varying[0]][3])
+
+    def product(a: str, b: str) -> float:
+        return sums[at[a], at[b]]
+
+    for x, y in pairs:
+        if x not in varying or y not in varying:
+            continue
+        mx, my = f"m{x}" if f"m{x}" in at else None, f"m{y}" if f"m{y}" in at else None
+        n = product(mx or my, my or mx) if mx or my else rows
+        sx = product(f"z{x}", my) if my else 0.0
+        sy = product(f"z{y}", mx) if mx else 0.0
+        sxx = product(f"q{x}", my) if my else product(f"z{x}", f"z{x}")
+        syy = product(f"q{y}", mx) if mx else product(f"z{y}", f"z{y}")
+        vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+        if n > 1 and vx > 1e-12 * n * n and vy > 1e-12 * n * n:
+            r = (n * product(f"z{x}", f"z{y}") - sx * sy) / np.sqrt(vx * vy)
+            result[x, y] = float(min(1.0, max(-1.0, r)))
+    return result
+
+
+def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``a, b, corr`` for every unordered pair (a before b in the given order)."""
+    rows = [(a, b, r) for (a, b), r in correlations(df, cols).items()]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:

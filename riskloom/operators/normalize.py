@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import c, nan_to_null
-from riskloom.operators.correlation import correlation_pairs
+from riskloom.operators.correlation import correlations
 
 MAX_CORRELATION = 0.95  # fixed value
 
@@ -36,9 +36,9 @@ def standardized(x: Column, mean: float | None, std: float | None) -> Column:
     return (x - F.lit(mean).cast("double")) / F.lit(std or 1.0)
 
 
-def pruned_columns(pairs: list[tuple[str, str, float | None]], cols: list[str], threshold: float = MAX_CORRELATION) -> list[str]:
+def pruned_columns(pairs: dict[tuple[str, str], float | None], cols: list[str], threshold: float = MAX_CORRELATION) -> list[str]:
     """Columns without a highly correlated earlier column, whether that one is kept or not."""
-    gone = {b for _, b, r in pairs if r is not None and abs(r) > threshold}
+    gone = {b for (_, b), r in pairs.items() if r is not None and abs(r) > threshold}
     return [n for n in cols if n not in gone]
 
 
@@ -68,6 +68,5 @@ class Normalizer:
         logs = df.select(*[log1p(n).alias(n) for n in self.cols])
         kept = list(self.cols)
         if self.drop_collinear and len(kept) > 1:
-            rows = correlation_pairs(logs, kept).collect()  # one row per column pair
-            kept = pruned_columns([(r["a"], r["b"], r["corr"]) for r in rows], kept, self.max_correlation)
+            kept = pruned_columns(correlations(logs, kept), kept, self.max_correlation)
         return NormalizerModel(population_moments(nan_to_null(logs), {n: c(n) for n in kept}))

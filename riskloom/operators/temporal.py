@@ -83,37 +83,35 @@ def _with_rolling(days: DataFrame, windows: tuple[int, ...], calendar: bool) ->
     return numbered.withColumns({f"__v{w}": _rolling_mean(w, calendar) for w in windows})
 
 
-def _velocity_means(windows: tuple[int, ...]) -> list[Column]:
-    return [F.avg(f"__v{w}").alias(f"Velocity_{w}d_mean") for w in windows]
+def _with_parts(days: DataFrame, carried: list[str]) -> DataFrame:
+    """Three rows per day: its day of month, month and year; other columns go with the year."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("part"), e.alias("v")) for n, e in
+                      (("Day", F.dayofmonth("__day")), ("Month", F.month("__day")), ("Year", F.year("__day")))])
+    long = days.select(_ID, _N, *carried, F.inline(pairs))
+    return long.withColumns({n: F.when(F.col("part") == "Year", F.col(n)) for n in carried})
 
 
-def _with_part_counts(days: DataFrame) -> DataFrame:
-    """Per day row: how often its day of month, month and year occur for the customer."""
-    parts = {"Day": F.dayofmonth("__day"), "Month": F.month("__day"), "Year": F.year("__day")}
-    days = days.withColumns({f"__p{n}": e for n, e in parts.items()})
-    return days.withColumns({f"__n{n}": F.sum(_N).over(Window.partitionBy(_ID, f"__p{n}")) for n in parts})
-
-
-def _modes() -> list[Column]:
-    """Largest count first, then the smallest value."""
-    return [F.min(F.struct((-F.col(f"__n{n}")).alias("n"), F.col(f"__p{n}").alias("v")))["v"].alias(f"{n}_mode")
-            for n in ("Day", "Month", "Year")]
+def _mode(part: str) -> Column:
+    """Value with the largest count, the smallest on ties: both packed into one number for a hash aggregate."""
+    packed = F.max(F.when(F.col("part") == part, F.shiftleft("n", 16) + (F.lit(65_535) - F.col("v"))))
+    return (F.lit(65_535) - F.pmod(packed, F.lit(65_536))).cast("int").alias(f"{part}_mode")
 
 
 def velocity(txn: DataFrame, cols: TxnColumns = DEFAULT, windows: tuple[int, ...] = VELOCITY_WINDOWS, calendar: bool = False) -> DataFrame:
     """Average rolling transaction count per customer; windows count active days by default."""
     days = _with_rolling(_customer_days(txn, cols), windows, calendar)
-    return days.groupBy(_ID).agg(*_velocity_means(windows)).withColumnRenamed(_ID, cols.id)
+    return days.groupBy(_ID).agg(*[F.avg(f"__v{w}").alias(f"Velocity_{w}d_mean") for w in windows]).withColumnRenamed(_ID, cols.id)
 
 
 def calendar_modes(txn: DataFrame, cols: TxnColumns = DEFAULT) -> DataFrame:
     """Most frequent day of month, month and year per customer, smallest on ties."""
-    return _with_part_counts(_customer_days(txn, cols)).groupBy(_ID).agg(*_modes()).withColumnRenamed(_ID, cols.id)
+    counts = _with_parts(_customer_days(txn, cols), []).groupBy(_ID, "part", "v").agg(F.sum(_N).alias("n"))
+    return counts.groupBy(_ID).agg(*[_mode(p) for p in ("Day", "Month", "Year")]).withColumnRenamed(_ID, cols.id)
 
 
 def gap_statistics(txn: DataFrame, cols: TxnColumns = DEFAULT) -> DataFrame:
     """Mean, smallest and largest gap between a customer's transactions, in days."""
-    return temporal_features(txn, cols, windows=(), modes=False)
+    return temporal_features(txn, cols, windows=()).drop("Day_mode", "Month_mode", "Year_mode")
 
 
 def temporal_features(
@@ -122,7 +120,6 @@ def temporal_features(
     gaps: bool = True,
     windows: tuple[int, ...] = VELOCITY_WINDOWS,
     calendar_velocity: bool = False,
-    modes: bool = True,
 ) -> DataFrame:
     """Calendar modes, gap statistics and velocities, one row per customer.
 
@@ -134,17 +131,19 @@ def temporal_features(
     days = hours.groupBy(_ID, F.to_date(_HOUR).alias("__day")).agg(
         F.sum(_N).alias(_N), F.min("first").alias("first"), F.max("last").alias("last"),
         F.min(F.least("gap_min", across)).alias("gap_min"), F.max(F.greatest("gap_max", across)).alias("gap_max"))
-    aggs: list[Column] = []
-    if modes:
-        days = _with_part_counts(days)
-        aggs += _modes()
+    days = _with_rolling(days, windows, calendar_velocity) if windows else days
+    sums = [f"__v{w}" for w in windows]
+    ends = {"first": F.min, "last": F.max, "gap_min": F.min, "gap_max": F.max} if gaps else {}
+    counts = _with_parts(days, [*ends, *sums]).groupBy(_ID, "part", "v").agg(
+        F.sum(_N).alias("n"), F.count("*").alias("days"),
+        *[f(n).alias(n) for n, f in ends.items()], *[F.sum(n).alias(n) for n in sums])
+    in_years = F.col("part") == "Year"
+    aggs = [_mode(p) for p in ("Day", "Month", "Year")]
     if gaps:
         # consecutive gaps add up to the whole span
         span = elapsed_micros(F.max("last"), F.min("first"))
-        aggs += [_days(F.try_divide(span, F.sum(_N) - 1)).alias("TimeSinceLast_mean"),
+        aggs += [_days(F.try_divide(span, F.sum(F.when(in_years, F.col("n"))) - 1)).alias("TimeSinceLast_mean"),
                  _days(F.min("gap_min")).alias("TimeSinceLast_min"),
                  _days(F.max("gap_max")).alias("TimeSinceLast_max")]
-    if windows:
-        days = _with_rolling(days, windows, calendar_velocity)
-        aggs += _velocity_means(windows)
-    return days.groupBy(_ID).agg(*aggs).withColumnRenamed(_ID, cols.id)
+    aggs += [(F.sum(f"__v{w}") / F.sum(F.when(in_years, F.col("days")))).alias(f"Velocity_{w}d_mean") for w in windows]
+    return counts.groupBy(_ID).agg(*aggs).withColumnRenamed(_ID, cols.id)
