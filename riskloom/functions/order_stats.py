@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions.exprs import c, is_fractional
 from riskloom.functions.sizing import freeze
+from riskloom.session import materialize
 
 ONE_PASS_VALUES = 2_000_000  # rows x columns up to which one built-in percentile aggregate is used
 COLLECT_VALUES = 500_000  # distinct values the driver may look at per round
@@ -191,16 +192,15 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     return result
 
 
-def split_points(df: DataFrame, name: str, rows_per_split: int = 200_000, max_splits: int = 1_024) -> list:
+def split_points(df: DataFrame, name: str, n_rows: int, rows_per_split: int = 200_000, max_splits: int = 1_024) -> list:
     """Frozen, strictly increasing values that cut the column into similar parts."""
-    n = df.select(c(name)).where(c(name).isNotNull()).count()
-    parts = min(max_splits, n // rows_per_split + 1)
+    parts = min(max_splits, n_rows // rows_per_split + 1)
     if parts <= 1:
         return []
     if isinstance(df.schema[name].dataType, T.NumericType):
         probs = [i / parts for i in range(1, parts)]
         return sorted(set(df.agg(F.approx_percentile(c(name), probs, 10_000)).first()[0]))
-    keys = _sampled_keys(df, name, n, want=8 * parts)
+    keys = _sampled_keys(df, name, n_rows, want=8 * parts)
     return sorted({keys[len(keys) * i // parts] for i in range(1, parts)})
 
 
@@ -223,17 +223,24 @@ def running_totals(df: DataFrame, order_col: str, sums: dict[str, str], ascendin
     points; each part is summed in its own task and starts from the total of the
     parts before it.
     """
-    part, points = "__part", split_points(df, order_col, rows_per_split)
-    tagged = df.withColumn(part, split_index(c(order_col), points))
-    totals = tagged.groupBy(part).agg(*[F.sum(c(src)).alias(f"__t_{new}") for new, src in sums.items()])
+    n_rows = df.count()
+    direction = c(order_col) if ascending else c(order_col).desc()
+
+    def totals(window) -> list[Column]:
+        return [F.sum(c(src)).over(window).alias(new) for new, src in sums.items()]
+
+    if n_rows <= rows_per_split:  # measured: one task can sort it
+        whole = Window.partitionBy(F.lit(0)).orderBy(direction).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select("*", *totals(whole))
+    part, df = "__part", materialize(df, "running-totals")
+    tagged = df.withColumn(part, split_index(c(order_col), split_points(df, order_col, n_rows, rows_per_split)))
+    sizes = tagged.groupBy(part).agg(*[F.sum(c(src)).alias(new) for new, src in sums.items()])
     before = Window.orderBy(F.col(part) if ascending else F.col(part).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(part, *[F.coalesce(F.sum(f"__t_{new}").over(before), F.lit(0)).alias(f"__o_{new}") for new in sums])
-    inside = (Window.partitionBy(part).orderBy(c(order_col) if ascending else c(order_col).desc())
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # offsets has at most max_splits + 1 rows
-    joined = tagged.join(F.broadcast(offsets), part)
-    return joined.select(*[c(n) for n in df.columns],
-                         *[(F.sum(c(src)).over(inside) + F.col(f"__o_{new}")).alias(new) for new, src in sums.items()])
+    # one row per part, at most max_splits + 1
+    offsets = freeze(sizes.select(part, *[F.coalesce(F.sum(new).over(before), F.lit(0)).alias(f"__o_{new}") for new in sums]), "offsets")
+    inside = Window.partitionBy(part).orderBy(direction).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = tagged.select("*", *totals(inside)).join(offsets, part)
+    return running.select(*[c(n) for n in df.columns], *[(c(new) + F.col(f"__o_{new}")).alias(new) for new in sums])
 
 
 def dense_codes(df: DataFrame, name: str, rows_per_split: int = 200_000) -> DataFrame:

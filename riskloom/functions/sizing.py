@@ -18,7 +18,7 @@ def freeze(df: DataFrame, name: str, max_rows: int = MAX_FROZEN_ROWS) -> DataFra
     joins by shuffle, where adaptive execution splits hot keys: a lookup has one
     row per key, so only the other side can be skewed.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
         return materialize(df, name)
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
