@@ -197,7 +197,7 @@ def modal_categories(spark, sf_dir):
 
 
 def _customer_categories(spark, sf_dir):
-    return A.modal_categories(txn_lines(spark, sf_dir), ["ProductCategory", "ChannelId"])
+    return materialize(A.modal_categories(txn_lines(spark, sf_dir), ["ProductCategory", "ChannelId"]), "categories")
 
 
 _LINE_MODES = f"WITH {TXN_LINES}, m AS ({_modal_sql(('ProductCategory', 'ChannelId'))})"

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.exprs import c, is_fractional
-from riskloom.functions.sizing import freeze
+from riskloom.functions.joins import freeze
 from riskloom.session import materialize
 
-ONE_PASS_VALUES = 2_000_000  # rows x columns up to which one built-in percentile aggregate is used
+ONE_PASS_VALUES = 4_000_000  # rows x columns up to which one built-in percentile aggregate is used
 COLLECT_VALUES = 500_000  # distinct values the driver may look at per round
 SAMPLED_KEYS = 2_000
 
@@ -105,53 +105,55 @@ def _read_small(work: DataFrame, gaps: list[_Gap], found: dict) -> None:
 
 
 def _narrow(work: DataFrame, gaps: list[_Gap], found: dict) -> list[_Gap]:
-    """One counting round over all large intervals."""
-    points = _points_near(work, gaps)
+    """One counting round over all large intervals; ranks of one interval share its split points."""
+    intervals: dict[tuple, list[_Gap]] = {}
+    for gap in gaps:
+        intervals.setdefault((gap.col, gap.lo, gap.hi), []).append(gap)
+    groups = list(intervals.values())
+    points = _points_near(work, groups)
     exprs = []
-    for i, gap in enumerate(gaps):
+    for i, group in enumerate(groups):
+        x, inside = c(group[0].col), group[0].holds(c(group[0].col))
         for j, p in enumerate(points[i]):
-            inside = gap.holds(c(gap.col))
-            exprs += [F.count_if(inside & (c(gap.col) < F.lit(p))).alias(f"lt_{i}_{j}"),
-                      F.count_if(inside & (c(gap.col) <= F.lit(p))).alias(f"le_{i}_{j}")]
+            exprs += [F.count_if(inside & (x < F.lit(p))).alias(f"lt_{i}_{j}"), F.count_if(inside & (x <= F.lit(p))).alias(f"le_{i}_{j}")]
     counts = work.agg(*exprs).first()
     still_open = []
-    for i, gap in enumerate(gaps):
-        want, lo, lo_count = gap.rank - gap.below, gap.lo, 0
-        for j, p in enumerate(points[i]):
-            lt, le = counts[f"lt_{i}_{j}"], counts[f"le_{i}_{j}"]
-            if want <= lt:
-                still_open.append(_Gap(gap.col, gap.rank, lo, p, gap.below + lo_count, lt - lo_count))
-                break
-            if want <= le:
-                found[gap.col][gap.rank] = p
-                break
-            lo, lo_count = p, le
-        else:
-            still_open.append(_Gap(gap.col, gap.rank, lo, gap.hi, gap.below + lo_count, gap.size - lo_count))
+    for i, group in enumerate(groups):
+        for gap in group:
+            want, lo, lo_count = gap.rank - gap.below, gap.lo, 0
+            for j, p in enumerate(points[i]):
+                lt, le = counts[f"lt_{i}_{j}"], counts[f"le_{i}_{j}"]
+                if want <= lt:
+                    still_open.append(_Gap(gap.col, gap.rank, lo, p, gap.below + lo_count, lt - lo_count))
+                    break
+                if want <= le:
+                    found[gap.col][gap.rank] = p
+                    break
+                lo, lo_count = p, le
+            else:
+                still_open.append(_Gap(gap.col, gap.rank, lo, gap.hi, gap.below + lo_count, gap.size - lo_count))
     return still_open
 
 
-def _points_near(work: DataFrame, gaps: list[_Gap]) -> list[list]:
+def _points_near(work: DataFrame, groups: list[list[_Gap]]) -> list[list]:
     """Data values close to each wanted rank; any choice is correct, a close one is fast."""
-    numeric = [i for i, g in enumerate(gaps) if isinstance(work.schema[g.col].dataType, T.NumericType)]
-    points: list[list] = [[] for _ in gaps]
+    points: list[list] = [[] for _ in groups]
+    numeric = {}
+    for i, group in enumerate(groups):
+        first = group[0]
+        shares = [(g.rank - g.below) / g.size for g in group]
+        if isinstance(work.schema[first.col].dataType, T.NumericType):
+            near = sorted({round(min(1.0, max(0.0, p + d)), 6) for p in shares for d in (-5e-4, 0.0, 5e-4)})
+            numeric[i] = F.approx_percentile(F.when(first.holds(c(first.col)), c(first.col)), near, 10_000).alias(f"p{i}")
+        else:
+            keys = _sampled_keys(work.where(first.holds(c(first.col))), first.col, first.size)
+            spread = 3 * math.sqrt(len(keys))
+            picks = {min(len(keys) - 1, max(0, int(p * len(keys) + d))) for p in shares for d in (-spread, 0, spread)}
+            points[i] = sorted({keys[k] for k in picks})
     if numeric:
-        aggs = []
-        for i in numeric:
-            g = gaps[i]
-            p = (g.rank - g.below) / g.size
-            near = sorted({min(1.0, max(0.0, p + d)) for d in (-5e-4, 0.0, 5e-4)})
-            aggs.append(F.approx_percentile(F.when(g.holds(c(g.col)), c(g.col)), near, 10_000).alias(f"p{i}"))
-        row = work.agg(*aggs).first()
+        row = work.agg(*numeric.values()).first()
         for i in numeric:
             points[i] = sorted(set(row[f"p{i}"]))
-    for i, g in enumerate(gaps):
-        if i not in numeric:
-            keys = _sampled_keys(work.where(g.holds(c(g.col))), g.col, g.size)
-            at = (g.rank - g.below) / g.size * len(keys)
-            spread = 3 * math.sqrt(len(keys))
-            picks = {min(len(keys) - 1, max(0, int(at + d))) for d in (-spread, 0, spread)}
-            points[i] = sorted({keys[k] for k in picks})
     return points
 
 
@@ -237,9 +239,9 @@ def running_totals(df: DataFrame, order_col: str, sums: dict[str, str], ascendin
     sizes = tagged.groupBy(part).agg(*[F.sum(c(src)).alias(new) for new, src in sums.items()])
     before = Window.orderBy(F.col(part) if ascending else F.col(part).desc()).rowsBetween(Window.unboundedPreceding, -1)
     # one row per part, at most max_splits + 1
-    offsets = freeze(sizes.select(part, *[F.coalesce(F.sum(new).over(before), F.lit(0)).alias(f"__o_{new}") for new in sums]), "offsets")
+    offsets = freeze(sizes.select(F.col(part).alias("__p"), *[F.coalesce(F.sum(new).over(before), F.lit(0)).alias(f"__o_{new}") for new in sums]), "offsets")
     inside = Window.partitionBy(part).orderBy(direction).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = tagged.select("*", *totals(inside)).join(offsets, part)
+    running = offsets.attach(tagged.select("*", *totals(inside)), F.col(part), "__p")
     return running.select(*[c(n) for n in df.columns], *[(c(new) + F.col(f"__o_{new}")).alias(new) for new in sums])
 
 
@@ -253,5 +255,4 @@ def dense_codes(df: DataFrame, name: str, rows_per_split: int = 200_000) -> Data
 def with_codes(df: DataFrame, name: str, out: str, codes: DataFrame) -> DataFrame:
     """Attach codes by value; missing and unseen values get -1."""
     lookup = freeze(codes.select(F.col("value").alias("__v"), F.col("code").alias(out)), "codes")
-    return (df.join(lookup, c(name) == F.col("__v"), "left").drop("__v")
-            .withColumn(out, F.coalesce(c(out), F.lit(-1))))
+    return lookup.attach(df, c(name), "__v").withColumn(out, F.coalesce(c(out), F.lit(-1)))

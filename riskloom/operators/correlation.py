@@ -7,90 +7,106 @@ from itertools import combinations
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation, Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import c, nan_to_null
 
+AGGREGATED_PRODUCTS = 60  # above this, generated code grows too large and vectors are faster
 
-def _cross_sums(df: DataFrame, cols: list[str], stats: dict) -> tuple[np.ndarray, list[str]]:
-    """Sums of products of standardised values z, presence marks m and squares q of all columns.
 
-    Missing values enter as zeros, so ``sum z_i z_j`` covers exactly the rows
-    where both are present, and products with a mark restrict the other sums to
-    the same rows. One distributed pass over vectors yields every product.
+def _prepared(cols: list[str], stats: dict) -> dict[str, Column]:
+    """Standardised values z, squares q and, where values are missing, presence marks m.
+
+    Missing values enter as zeros, so ``sum z_a z_b`` covers exactly the rows
+    where both are present, and a product with a mark restricts the other sums
+    to the same rows.
     """
-    names, parts = [], []
+    out = {}
     for n in cols:
         _, mean, std, missing = stats[n]
         z = (c(n).cast("double") - F.lit(mean)) / F.lit(std)
-        filled = F.coalesce(z, F.lit(0.0)) if missing else z
-        names += [f"z{n}", f"q{n}"]
-        parts += [filled, filled * filled]
+        out[f"z{n}"] = F.coalesce(z, F.lit(0.0)) if missing else z
+        out[f"q{n}"] = out[f"z{n}"] * out[f"z{n}"]
         if missing:
-            names.append(f"m{n}")
-            parts.append(c(n).isNotNull().cast("double"))
-    vectors = df.select(array_to_vector(F.array(*parts)).alias("v"))
+            out[f"m{n}"] = c(n).isNotNull().cast("double")
+    return out
+
+
+def _aggregated(df: DataFrame, prepared: dict[str, Column], wanted: list[tuple[str, str]]) -> dict[tuple[str, str], float]:
+    """Few products: one aggregate in generated code."""
+    named = df.select(*[e.alias(n) for n, e in prepared.items()])
+    row = named.agg(*[F.sum(c(a) * c(b)).alias(str(i)) for i, (a, b) in enumerate(wanted)]).first()
+    return {pair: row[str(i)] for i, pair in enumerate(wanted)}
+
+
+def _by_vectors(df: DataFrame, prepared: dict[str, Column], wanted: list[tuple[str, str]]) -> dict[tuple[str, str], float]:
+    """Many products: the covariance of a vector column holds them all."""
+    vectors = df.select(array_to_vector(F.array(*prepared.values())).alias("v"))
     summary = vectors.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).first()["s"]
-    n = float(summary["count"])
-    mean, std = summary["mean"].toArray(), np.sqrt(summary["variance"].toArray())
+    n, mean, std = float(summary["count"]), summary["mean"].toArray(), np.sqrt(summary["variance"].toArray())
     corr = Correlation.corr(vectors, "v").first()[0].toArray()  # columns x columns
     cov = np.nan_to_num(corr) * np.outer(std, std) * (n - 1) / n
     np.fill_diagonal(cov, std**2 * (n - 1) / n)
-    return n * (cov + np.outer(mean, mean)), names
+    sums = n * (cov + np.outer(mean, mean))
+    at = {name: i for i, name in enumerate(prepared)}
+    return {(a, b): sums[at[a], at[b]] for a, b in wanted}
 
 
 def correlations(df: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
-    """Coefficient per unordered pair; None where a side is constant on the shared rows."""
+    """Coefficient per unordered pair and of each column with itself.
+
+    None where a side is constant on the shared rows (a constant column has no
+    defined correlation, not even with itself).
+    """
     pairs = list(combinations(cols, 2))
     result: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
-    if not pairs:
+    if not cols:
         return result
     df = nan_to_null(df.select(*[c(n) for n in cols]))
     row = df.agg(*[F.struct(F.count(c(n)).alias("n"), F.avg(c(n)).alias("m"), F.stddev_pop(c(n)).alias("s"),
                             F.count_if(c(n).isNull()).alias("missing")).alias(n) for n in cols]).first()
     stats = {n: tuple(row[n]) for n in cols}
-    varying = [n for n in cols if stats[n][2]]  # not empty, not constant
-    if len(varying) < 2:
+    varying = {n for n in cols if stats[n][2]}  # not empty, not constant
+    result.update({(n, n): 1.0 if n in varying else None for n in cols})
+    pairs = [(x, y) for x, y in pairs if x in varying and y in varying]
+    if not pairs:
         return result
-    sums, names = _cross_sums(df, varying, stats)
-    at = {n: i for i, n in enumerate(names)}
-    rows = float(stats[varying[0]][0] + stats[varying[0]][3])
-
-    def product(a: str, b: str) -> float:
-        return sums[at[a], at[b]]
-
+    prepared = _prepared([n for n in cols if n in varying], stats)
+
+    def parts(x: str, y: str) -> dict[str, tuple[str, str]]:
+        """The products one pair needs; those without a mark are known beforehand."""
+        mx, my = (f"m{n}" if f"m{n}" in prepared else None for n in (x, y))
+        need = {"xy": (f"z{x}", f"z{y}"), "xx": (f"q{x}", my) if my else (f"z{x}", f"z{x}"), "yy": (f"q{y}", mx) if mx else (f"z{y}", f"z{y}")}
+        if my:
+            need["x"] = (f"z{x}", my)
+        if mx:
+            need["y"] = (f"z{y}", mx)
+        if mx or my:
+            need["n"] = (mx or my, my or mx)
+        return need
+
+    wanted = sorted({p for x, y in pairs for p in parts(x, y).values()})
+    sums = (_aggregated if len(wanted) <= AGGREGATED_PRODUCTS else _by_vectors)(df, prepared, wanted)
+    rows = float(stats[cols[0]][0] + stats[cols[0]][3])
     for x, y in pairs:
-        if x not in varying or y not in varying:
-            continue
-        mx, my = f"m{x}" if f"m{x}" in at else None, f"m{y}" if f"m{y}" in at else None
-        n = product(mx or my, my or mx) if mx or my else rows
-        sx = product(f"z{x}", my) if my else 0.0
-        sy = product(f"z{y}", mx) if mx else 0.0
-        sxx = product(f"q{x}", my) if my else product(f"z{x}", f"z{x}")
-        syy = product(f"q{y}", mx) if mx else product(f"z{y}", f"z{y}")
-        vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+        s = {k: sums[p] for k, p in parts(x, y).items()}
+        n, sx, sy = s.get("n", rows), s.get("x", 0.0), s.get("y", 0.0)
+        vx, vy = n * s["xx"] - sx * sx, n * s["yy"] - sy * sy
         if n > 1 and vx > 1e-12 * n * n and vy > 1e-12 * n * n:
-            r = (n * product(f"z{x}", f"z{y}") - sx * sy) / np.sqrt(vx * vy)
+            r = (n * s["xy"] - sx * sy) / np.sqrt(vx * vy)
             result[x, y] = float(min(1.0, max(-1.0, r)))
     return result
 
 
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """``a, b, corr`` for every unordered pair (a before b in the given order)."""
-    rows = [(a, b, r) for (a, b), r in correlations(df, cols).items()]
+    rows = [(a, b, r) for (a, b), r in correlations(df, cols).items() if a != b]
     return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """The full matrix in long form: both directions and the diagonal.
-
-    A constant column has no defined correlation, not even with itself.
-    """
-    pairs = correlation_pairs(df, cols)
-    flipped = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
-    clean = nan_to_null(df.select(*[c(n) for n in cols]))
-    diagonal = clean.agg(F.array(*[
-        F.struct(F.lit(n).alias("a"), F.lit(n).alias("b"), F.when(F.stddev_pop(c(n)) > 0, F.lit(1.0)).alias("corr"))
-        for n in cols]).alias("s")).select(F.inline("s"))
-    return pairs.unionByName(flipped).unionByName(diagonal)
+    """The full matrix in long form: both directions and the diagonal."""
+    found = correlations(df, cols)
+    rows = [(a, b, r) for (a, b), r in found.items()] + [(b, a, r) for (a, b), r in found.items() if a != b]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")

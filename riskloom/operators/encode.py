@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import NULL_TOKEN, c
-from riskloom.functions.sizing import freeze
+from riskloom.functions.joins import Lookup, freeze
 from riskloom.operators.profile import column_value_counts
 
 LOW_CARDINALITY = 8  # fixed value: most distinct values, null included, that are one-hot encoded
@@ -25,7 +25,7 @@ class CategoryEncoderModel:
 
     one_hot: dict[str, list[str]]
     frequency_cols: list[str]
-    shares: DataFrame | None = field(default=None, repr=False)  # feature, value, share
+    shares: Lookup | None = field(default=None, repr=False)  # feature, value, share
 
     @property
     def feature_names(self) -> list[str]:
@@ -40,7 +40,7 @@ class CategoryEncoderModel:
         out = df
         for n in self.frequency_cols:
             mine = self.shares.where(F.col("feature") == n).select(F.col("value").alias("__v"), F.col("share").alias(f"{n}_freq"))
-            out = out.join(mine, filled(n) == F.col("__v"), "left").drop("__v")
+            out = mine.attach(out, filled(n), "__v")
         shares = [F.coalesce(c(f"{n}_freq"), F.lit(0.0)).alias(f"{n}_freq") for n in self.frequency_cols]
         return out.select(*[c(k) for k in keep], *self.one_hot_exprs(), *shares)
 
@@ -63,9 +63,9 @@ class CategoryEncoder:
         if not cols:
             return CategoryEncoderModel({}, [])
         shares = freeze(category_shares(df, cols), "category-shares")
-        few = shares.groupBy("feature").agg(F.count("*").alias("u")).where(F.col("u") <= self.low_cardinality)
+        few = shares.df.groupBy("feature").agg(F.count("*").alias("u")).where(F.col("u") <= self.low_cardinality)
         # at most low_cardinality values per column reach the driver
-        rows = shares.join(F.broadcast(few), "feature", "left_semi").select("feature", "value").collect()
+        rows = shares.df.join(F.broadcast(few), "feature", "left_semi").select("feature", "value").collect()
         values: dict[str, list[str]] = {}
         for r in rows:
             values.setdefault(r["feature"], []).append(r["value"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -65,17 +66,21 @@ def cluster_rfm(table: DataFrame, k: int = 3, seed: int = 42, starts: int = 10,
     stats = population_moments(table, {f: c(f).cast("double") for f in RFM}) if scale else {f: (0.0, 1.0) for f in RFM}
     scaled = table.withColumns({f"__z{f}": standardized(c(f).cast("double"), *stats[f]) for f in RFM})
     vectors = VectorAssembler(inputCols=[f"__z{f}" for f in RFM], outputCol="__v", handleInvalid="skip").transform(scaled).persist()
-    best, costs = None, []
-    for i in range(starts):
-        model = KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4, featuresCol="__v", predictionCol="__c").fit(vectors)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-        costs.append(cost)
-        if sum(abs(x - best[1]) <= 1e-6 * max(best[1], 1e-12) for x in costs) >= agree:
-            break
+    vectors.count()  # fill the cache before several starts read it
+
+    def start(i: int) -> tuple[float, int, KMeansModel]:
+        fitted = KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4, featuresCol="__v", predictionCol="__c").fit(vectors)
+        return fitted.summary.trainingCost, i, fitted
+
+    runs: list[tuple[float, int, KMeansModel]] = []
+    with ThreadPool(agree) as pool:  # threads submit jobs side by side
+        for first in range(0, starts, agree):
+            runs += pool.map(start, range(first, min(first + agree, starts)))
+            least = min(r[0] for r in runs)
+            if sum(abs(r[0] - least) <= 1e-6 * max(least, 1e-12) for r in runs) >= agree:
+                break
     vectors.unpersist()
-    model, cost = best
+    cost, _, model = min(runs, key=lambda r: r[:2])
     raw = [[z * (stats[f][1] or 1.0) + stats[f][0] for f, z in zip(RFM, center)] for center in model.clusterCenters()]
     order = sorted(range(len(raw)), key=lambda i: raw[i])
     renumber = F.create_map(*[F.lit(x) for new, old in enumerate(order) for x in (old, new)])

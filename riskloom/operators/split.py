@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import c, row_hash
-from riskloom.functions.sizing import freeze
+from riskloom.functions.joins import freeze
 
 PREFIX = 4  # hex digits: 65,536 counts per stratum
 _H, _S = "__hash", "__stratum"
@@ -29,7 +29,7 @@ def _cut_points(keyed: DataFrame, wanted: list[Column]) -> DataFrame:
              .where((F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("n") < F.col("want")))
              .select(F.col(_S).alias("s"), "p", "cut", (F.col("want") - F.col("upto") + F.col("n")).alias("need")))
     # only rows of the pivot prefixes go on: about total / 65,536 per cut
-    inside = keyed.join(freeze(pivot, "split-pivots"), keyed[_S].eqNullSafe(F.col("s")) & (prefix == F.col("p")))
+    inside = keyed.join(freeze(pivot, "split-pivots").hinted(), keyed[_S].eqNullSafe(F.col("s")) & (prefix == F.col("p")))
     position = F.row_number().over(Window.partitionBy("s", "cut").orderBy(_H))
     return (inside.select("s", "cut", _H, "need").withColumn("r", position).where(F.col("r") == F.col("need"))
             .select("s", "cut", F.col(_H).alias("threshold")))
@@ -49,9 +49,9 @@ def stratified_split(df: DataFrame, stratum: str, keys: list[str], test_frac: fl
     size = F.floor(F.col("total") * F.lit(test_frac))
     want = F.greatest(F.lit(1), size) if at_least_one else size
     cuts = _cut_points(_keyed(df, keys, seed, c(stratum)), [want]).drop("cut")
-    joined = df.join(freeze(cuts, "split-cuts"), c(stratum) == F.col("s"), "left")
+    joined = freeze(cuts, "split-cuts").attach(df, c(stratum), "s")
     is_test = F.col("threshold").isNotNull() & (row_hash(seed, keys) <= F.col("threshold"))
-    return joined.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("s", "threshold")
+    return joined.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("threshold")
 
 
 def random_split(df: DataFrame, keys: list[str], test_frac: float = 0.2, seed: int = 42) -> DataFrame:
@@ -74,8 +74,8 @@ def stratified_folds(df: DataFrame, label: str, keys: list[str], folds: int = 5,
     wanted = [F.floor(F.col("total") * F.lit(i) / F.lit(folds)) for i in range(1, folds)]
     cuts = _cut_points(_keyed(df, keys, seed, c(label)), wanted)
     per_class = freeze(cuts.groupBy("s").agg(F.array_sort(F.collect_list("threshold")).alias("__cuts")), "fold-cuts")  # folds - 1 each
-    tagged = df.join(per_class, c(label) == F.col("s"), "left").withColumn("__h", row_hash(seed, keys))
+    tagged = per_class.attach(df, c(label), "s").withColumn("__h", row_hash(seed, keys))
     passed = F.filter("__cuts", lambda t: t < F.col("__h"))
     # classes smaller than the fold count have fewer cuts
     skipped = F.lit(folds - 1) - F.size("__cuts")
-    return tagged.withColumn(out, F.coalesce(F.size(passed) + skipped, F.lit(folds - 1)).cast("int")).drop("__h", "__cuts", "s")
+    return tagged.withColumn(out, F.coalesce(F.size(passed) + skipped, F.lit(folds - 1)).cast("int")).drop("__h", "__cuts")

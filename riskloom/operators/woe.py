@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions.exprs import c, nan_to_null
 from riskloom.functions.order_stats import order_statistics
-from riskloom.functions.sizing import freeze
+from riskloom.functions.joins import Lookup, freeze
 from riskloom.operators.encode import filled
 
 MIN_IV = 0.02  # fixed value
@@ -108,12 +108,16 @@ def iv_strength(iv: Column) -> Column:
 class WoeModel:
     """Frozen maps: a bin table per feature plus the edges of binned numerics."""
 
-    table: DataFrame = field(repr=False)  # feature, bin, good, bad, woe, iv
+    lookup: Lookup = field(repr=False)  # feature, bin, good, bad, woe, iv
     categorical: list[str]
     edges: dict[str, RankEdges | WidthEdges]
     key: str | None
     ivs: dict[str, float]
 
+    @property
+    def table(self) -> DataFrame:
+        return self.lookup.df
+
     def bin_exprs(self) -> dict[str, Column]:
         key = c(self.key) if self.key else F.lit(None)
         out = {n: filled(n) for n in self.categorical}
@@ -130,8 +134,8 @@ class WoeModel:
         features = list(bins) if features is None else features
         out = df
         for n in features:
-            mine = self.table.where(F.col("feature") == n).select(F.col("bin").alias("__b"), F.col("woe").alias(f"{n}_woe"))
-            out = out.join(mine, bins[n].cast("string") == F.col("__b"), "left").drop("__b")
+            mine = self.lookup.where(F.col("feature") == n).select(F.col("bin").alias("__b"), F.col("woe").alias(f"{n}_woe"))
+            out = mine.attach(out, bins[n].cast("string"), "__b")
         base = df.columns if keep is None else keep
         return out.select(*[c(k) for k in base], *[F.coalesce(c(f"{n}_woe"), F.lit(0.0)).alias(f"{n}_woe") for n in features])
 
@@ -169,7 +173,7 @@ class Woe:
                     edges[n] = rank_edges(df, n, self.key, self.bins)
                 else:
                     edges[n] = width_edges(df, n, self.bins)
-        model = WoeModel(df, [n for n in features if n not in edges], edges, self.key, {})
+        model = WoeModel(Lookup(df, False), [n for n in features if n not in edges], edges, self.key, {})
         table = freeze(woe_of_counts(bin_counts(df, model.bin_exprs(), self.label)), "woe-table")
-        ivs = {r["feature"]: r["iv"] for r in information_values(table).collect()}  # one row per feature
+        ivs = {r["feature"]: r["iv"] for r in information_values(table.df).collect()}  # one row per feature
         return WoeModel(table, model.categorical, edges, self.key, {n: ivs[n] for n in features if n in ivs})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.joins import skew_safe_join
 from riskloom.session import use_utc
 
 
@@ -28,7 +29,7 @@ def txn_orders(spark: SparkSession, sf_dir: str, with_segment: bool = False) ->
     ]
     if with_segment:
         customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-        orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        orders = skew_safe_join(orders, customer, "o_custkey", "c_custkey")
         cols.append(F.col("c_mktsegment").alias("ProviderId"))
     return orders.select(*cols)
 
@@ -51,7 +52,7 @@ def txn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(part, F.col("l_partkey") == F.col("p_partkey"))
+    joined = skew_safe_join(skew_safe_join(lines, orders, "l_orderkey", "o_orderkey"), part, "l_partkey", "p_partkey")
     return joined.select(
         F.col("o_custkey").alias("CustomerId"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("Amount"),

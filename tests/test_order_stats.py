@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from riskloom.functions.order_stats import dense_codes, exact_quantiles, order_statistics, running_totals, split_index, with_codes
-from riskloom.functions.sizing import freeze
+from riskloom.functions.joins import freeze, hot_keys, skew_safe_join
 from riskloom.operators.correlation import correlations
 
 
@@ -77,13 +77,27 @@ def test_split_index_counts_points_at_or_below(spark):
 
 
 def test_freeze_keeps_large_tables_distributed(spark):
-    small, large = freeze(spark.range(5), "t"), freeze(spark.range(100), "t", max_rows=10)
+    small, large = freeze(spark.range(5), "t").df, freeze(spark.range(100), "t", max_rows=10).df
     assert small.count() == 5 and large.count() == 100
     assert "LocalTableScan" in small._jdf.queryExecution().toString()
     assert "parquet" in large._jdf.queryExecution().toString()
 
 
-def test_pairwise_complete_correlation(spark):
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skewed_join_keeps_every_row(spark, how):
+    left = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 1_000 == 1, None).otherwise(F.col("id") % 900).alias("k"))
+    right = spark.range(0, 800).select(F.col("id").alias("r"), (F.col("id") * 10).alias("v"))
+    assert hot_keys(left, "k") == [7]
+    got = skew_safe_join(left, right, "k", "r", how, broadcast_rows=10)
+    want = left.join(right, F.col("k") == F.col("r"), how)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+    plan = got._jdf.queryExecution().toString()
+    assert "__salt" in plan
+
+
+@pytest.mark.parametrize("limit", [60, 0])
+def test_pairwise_complete_correlation(spark, monkeypatch, limit):
+    monkeypatch.setattr("riskloom.operators.correlation.AGGREGATED_PRODUCTS", limit)
     rng = np.random.default_rng(3)
     x = rng.normal(size=500) + 2_000
     y = 3 * x + rng.normal(size=500)
@@ -92,4 +106,6 @@ def test_pairwise_complete_correlation(spark):
     df = spark.createDataFrame(rows, "x double, y double, z double, k double, e double")
     want = df.toPandas().astype(float).corr()
     for (a, b), r in correlations(df, df.columns).items():
+        if a == b:
+            continue
         assert (r is None) if np.isnan(want.loc[a, b]) else r == pytest.approx(want.loc[a, b], abs=1e-9), (a, b)
