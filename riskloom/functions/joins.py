@@ -30,8 +30,8 @@ def hot_keys(df: DataFrame, key: str) -> list:
     The list only decides which keys are spread over several tasks; every row
     is joined whatever it says.
     """
+    n = df.count()
     rows = df.select(F.col(f"`{key}`").alias("k")).where(F.col("k").isNotNull())
-    n = rows.count()
     sample = rows.sample(fraction=min(1.0, SAMPLE_ROWS / max(n, 1)), seed=11)
     counts = sample.groupBy("k").agg(F.count("*").alias("n"))
     least = max(2.0, HOT_SHARE * min(n, SAMPLE_ROWS))

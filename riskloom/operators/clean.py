@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import c, nan_to_null, numeric_columns, string_columns
 from riskloom.functions.order_stats import dense_codes, exact_quantiles, with_codes
-from riskloom.operators.profile import column_value_counts
+from riskloom.operators.profile import column_value_counts, few_valued
 from riskloom.session import materialize
 
 SENTINELS = ("", "NA", "N/A", "Unknown", "None")  # fixed values
@@ -81,12 +81,13 @@ def one_hot_columns(df: DataFrame, values: dict[str, list[str]]) -> dict[str, Co
 
 def bounded_distincts(df: DataFrame, cols: list[str], limit: int) -> dict[str, list[str] | None]:
     """Sorted distinct values of each column, or None where there are more than ``limit``."""
+    found: dict[str, list[str] | None] = {n: None for n in cols}
+    cols = few_valued(df, cols, limit)
     if not cols:
-        return {}
+        return found
     counts = column_value_counts(df, cols).where(F.col("value").isNotNull())
     few = counts.groupBy("feature").agg(F.count("*").alias("u")).where(F.col("u") <= limit)
     rows = counts.join(F.broadcast(few), "feature", "left_semi").select("feature", "value").collect()  # <= limit per column
-    found: dict[str, list[str] | None] = {n: None for n in cols}
     for r in rows:
         found[r["feature"]] = (found[r["feature"]] or []) + [r["value"]]
     return {n: sorted(v) if v is not None else None for n, v in found.items()}

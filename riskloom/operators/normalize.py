@@ -38,7 +38,7 @@ def standardized(x: Column, mean: float | None, std: float | None) -> Column:
 
 def pruned_columns(pairs: dict[tuple[str, str], float | None], cols: list[str], threshold: float = MAX_CORRELATION) -> list[str]:
     """Columns without a highly correlated earlier column, whether that one is kept or not."""
-    gone = {b for (_, b), r in pairs.items() if r is not None and abs(r) > threshold}
+    gone = {b for (a, b), r in pairs.items() if a != b and r is not None and abs(r) > threshold}
     return [n for n in cols if n not in gone]
 
 

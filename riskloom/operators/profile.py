@@ -47,6 +47,19 @@ def column_value_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.groupBy("feature", "value").agg(F.count("*").alias("n"))
 
 
+def few_valued(df: DataFrame, cols: list[str], limit: int) -> list[str]:
+    """Columns that may have at most ``limit`` distinct values.
+
+    A sketch of a few kilobytes per column rules out keys and free text before
+    any exact count would shuffle all their values; its error is far below the
+    margin of ten, so the exact count still decides every close case.
+    """
+    if not cols:
+        return []
+    row = df.agg(*[F.approx_count_distinct(c(n)).alias(n) for n in cols]).first()
+    return [n for n in cols if row[n] <= 10 * limit]
+
+
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, mean, std, min, quartiles, max per numeric column (long, one row per column)."""
     cols = cols or numeric_columns(df)
@@ -94,13 +107,16 @@ def missing_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def missing_table(df: DataFrame, cols: list[str] | None = None, sample: int = 3) -> DataFrame:
     """Diagnostics of the columns that have missing values, most missing first.
 
-    The sample is the smallest distinct values; each map task keeps only its own
-    first few before the shuffle. A table without rows gives an empty report.
+    Only columns with missing values are counted further. The sample is the
+    smallest distinct values; each map task keeps only its own first few before
+    the shuffle. A table without rows gives an empty report.
     """
-    cols = cols or df.columns
-    clean = nan_to_null(df)
-    report = missing_counts(df, cols).where(F.col("Missing") > 0)
-    values = column_value_counts(clean, cols).where(F.col("value").isNotNull())
+    found = missing_counts(df, cols).where(F.col("Missing") > 0).collect()  # one row per column
+    cols = [r["column"] for r in found]
+    if not cols:
+        return df.sparkSession.createDataFrame([], MISSING_SCHEMA)
+    report = df.sparkSession.createDataFrame(found, "column string, Missing bigint, Percent double")
+    values = column_value_counts(nan_to_null(df.select(*[c(n) for n in cols])), cols).where(F.col("value").isNotNull())
     distinct = values.groupBy(F.col("feature").alias("column")).agg(F.count("*").alias("Nunique"))
     first = values.withColumn("r", F.row_number().over(Window.partitionBy("feature").orderBy("value"))).where(F.col("r") <= sample)
     samples = first.groupBy(F.col("feature").alias("column")).agg(F.array_sort(F.collect_list("value")).alias("Sample"))
@@ -161,6 +177,10 @@ def histogram(df: DataFrame, cols: list[str] | None = None, bins: int = 30) -> D
 def category_counts(df: DataFrame, cols: list[str] | None = None, max_unique: int | None = 15) -> DataFrame:
     """Value counts of text columns with at most ``max_unique`` distinct values."""
     cols = cols or string_columns(df)
+    if max_unique is not None:
+        cols = few_valued(df, cols, max_unique)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "feature string, value string, n bigint")
     counts = column_value_counts(df, cols).where(F.col("value").isNotNull())
     if max_unique is not None:
         few = counts.groupBy("feature").agg(F.count("*").alias("u")).where(F.col("u") <= max_unique).select("feature")

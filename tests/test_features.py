@@ -171,7 +171,7 @@ def test_encoder_routes_by_cardinality_and_keeps_null_bucket(spark):
 
 
 def test_pruning_counts_dropped_columns_too():
-    pairs = {("a", "b"): 0.99, ("a", "c"): 0.5, ("b", "c"): -0.97, ("a", "d"): None}
+    pairs = {("a", "a"): 1.0, ("a", "b"): 0.99, ("a", "c"): 0.5, ("b", "c"): -0.97, ("a", "d"): None}
     assert pruned_columns(pairs, ["a", "b", "c", "d"]) == ["a", "d"]
 
 
