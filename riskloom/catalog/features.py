@@ -248,8 +248,12 @@ def _labeled_categories(spark, sf_dir):
     return A.modal_categories(txn, list(_CATS)).join(A.customer_target(txn), "CustomerId")
 
 
-_LABELED = f"""{TXN_ORDERS_SEGMENT}, m AS ({_modal_sql(_CATS)}), y AS (SELECT CustomerId, max(FraudResult) AS HasFraud FROM txn GROUP BY CustomerId),
-b AS ({" UNION ALL ".join(f"SELECT CustomerId, '{n}' AS feature, coalesce({n}, '__NA__') AS bin, HasFraud FROM m JOIN y USING (CustomerId)" for n in _CATS)})"""
+def _labeled_sql(txn_sql: str, cats: tuple[str, ...]) -> str:
+    long = " UNION ALL ".join(f"SELECT CustomerId, '{n}' AS feature, coalesce({n}, '__NA__') AS bin, HasFraud FROM m JOIN y USING (CustomerId)" for n in cats)
+    return f"""{txn_sql}, m AS ({_modal_sql(cats)}), y AS (SELECT CustomerId, max(FraudResult) AS HasFraud FROM txn GROUP BY CustomerId), b AS ({long})"""
+
+
+_LABELED = _labeled_sql(TXN_ORDERS_SEGMENT, _CATS)
 _WOE = """n AS (SELECT feature, bin, CASE WHEN count(CASE WHEN HasFraud = 0 THEN 1 END) = 0 THEN 0.5 ELSE count(CASE WHEN HasFraud = 0 THEN 1 END)::DOUBLE END AS good,
   CASE WHEN count(CASE WHEN HasFraud = 1 THEN 1 END) = 0 THEN 0.5 ELSE count(CASE WHEN HasFraud = 1 THEN 1 END)::DOUBLE END AS bad FROM b WHERE bin IS NOT NULL GROUP BY feature, bin),
 d AS (SELECT *, good / sum(good) OVER (PARTITION BY feature) AS dg, bad / sum(bad) OVER (PARTITION BY feature) AS db FROM n),
@@ -363,54 +367,100 @@ def feature_table_encoded(spark, sf_dir):
     return rounded(wide.select("CustomerId", F.inline(pairs)))
 
 
-_NORM = {"Amount_sum": "s", "Amount_mean": "m", "Amount_max": "x", "Amount_skew": "k", "Recent30_Amount_sum": "rs", "Recent30_TransactionStartTime_count": "rc"}
-_NORM_SQL = f"""raw AS (SELECT CustomerId, sum(Amount) AS s, avg(Amount) AS m, max(Amount) AS x,
+def _norm_sql(kept: dict[str, str]) -> str:
+    """Standardised logs of the kept columns, given as name -> column of ``raw``."""
+    return f"""raw AS (SELECT CustomerId, sum(Amount) AS s, avg(Amount) AS m, max(Amount) AS x, max("Value") AS vx,
   CASE WHEN count(Amount) < 3 THEN NULL WHEN stddev_pop(Amount) = 0 THEN 0.0 ELSE skewness(Amount) END AS k,
-  sum(CASE WHEN ts >= {_RECENT} THEN Amount END) AS rs, nullif(count(CASE WHEN ts >= {_RECENT} THEN 1 END), 0) AS rc FROM txn GROUP BY CustomerId),
-logs AS (SELECT CustomerId, {", ".join(f"CASE WHEN {k} > -1 THEN ln(1 + {k}) END AS {k}" for k in _NORM.values())} FROM raw),
-norm AS (SELECT CustomerId, {", ".join(f'round(({k} - (SELECT avg({k}) FROM logs)) / (SELECT stddev_pop({k}) FROM logs) + 1e-9, 4) + 0.0 AS "{n}_log_std"' for n, k in _NORM.items())} FROM logs)"""
+  sum(CASE WHEN ts >= {_RECENT} THEN Amount END) AS rs, avg(CASE WHEN ts >= {_RECENT} THEN Amount END) AS rm,
+  nullif(count(CASE WHEN ts >= {_RECENT} THEN 1 END), 0) AS rc FROM txn GROUP BY CustomerId),
+logs AS (SELECT CustomerId, {", ".join(f"CASE WHEN {k} > -1 THEN ln(1 + {k}) END AS {k}" for k in kept.values())} FROM raw),
+norm AS (SELECT CustomerId, {", ".join(f'round(({k} - (SELECT avg({k}) FROM logs)) / (SELECT stddev_pop({k}) FROM logs) + 1e-9, 4) + 0.0 AS "{n}_log_std"' for n, k in kept.items())} FROM logs)"""
+
+
+def _woe_columns_sql(cats: tuple[str, ...]) -> str:
+    picks = ", ".join(f'round(coalesce(max(CASE WHEN l.feature = {chr(39)}{n}{chr(39)} THEN woe END), 0) + 1e-9, 4) + 0.0 AS "{n}_woe"' for n in cats)
+    long = " UNION ALL ".join(f"SELECT CustomerId, '{n}' AS feature, coalesce({n}, '__NA__') AS bin FROM m" for n in cats)
+    return f"enc AS (SELECT CustomerId, {picks} FROM ({long}) l LEFT JOIN w ON l.feature = w.feature AND l.bin = w.bin GROUP BY CustomerId)"
+
+
+# kept by the pruning and the information value filter on the check data
+_BASIC_NORM = {"Amount_sum": "s", "Amount_mean": "m", "Amount_max": "x", "Amount_skew": "k"}
+_NORM = {**_BASIC_NORM, "Recent30_Amount_sum": "rs", "Recent30_TransactionStartTime_count": "rc"}
+_LINE_NORM = {**_BASIC_NORM, "Value_max": "vx", "Recent30_Amount_sum": "rs", "Recent30_Amount_mean": "rm", "Recent30_TransactionStartTime_count": "rc"}
 _HOT_SQL = ", ".join(f'CAST({n} = {chr(39)}{v}{chr(39)} AS BIGINT) AS "{n}_{v}"'
                      for n, vs in (("ProductCategory", _PRIORITIES), ("ChannelId", _STATUS), ("ProviderId", _SEGMENTS)) for v in vs)
-_KEPT = ("ProductCategory", "ProviderId")  # features with enough information value in the check data
+_JOINED = "SELECT * EXCLUDE (HasFraud) FROM agg JOIN modes USING (CustomerId) JOIN gaps USING (CustomerId) JOIN velocity USING (CustomerId) JOIN hot USING (CustomerId) JOIN norm USING (CustomerId) JOIN enc USING (CustomerId)"
 
 
-@query(f"""WITH {_LABELED}, {_WOE}, agg AS ({_AGG_SQL}), {_GAPS}, {_VELOCITY}, modes AS ({_MODES}), hot AS (SELECT CustomerId, {_HOT_SQL} FROM m), {_NORM_SQL},
-enc AS (SELECT CustomerId, {", ".join(f'round(max(CASE WHEN b.feature = {chr(39)}{n}{chr(39)} THEN woe END) + 1e-9, 4) + 0.0 AS "{n}_woe"' for n in _KEPT)}
-  FROM b JOIN w ON b.feature = w.feature AND b.bin = w.bin GROUP BY CustomerId)
-SELECT * EXCLUDE (HasFraud) FROM agg JOIN modes USING (CustomerId) JOIN gaps USING (CustomerId) JOIN velocity USING (CustomerId) JOIN hot USING (CustomerId)
-  JOIN norm USING (CustomerId) JOIN enc USING (CustomerId)""")
+@query(f"""WITH {_LABELED}, {_WOE}, agg AS ({_AGG_SQL}), {_GAPS}, {_VELOCITY}, modes AS ({_MODES}), hot AS (SELECT CustomerId, {_HOT_SQL} FROM m),
+{_norm_sql(_NORM)}, {_woe_columns_sql(("ProductCategory", "ProviderId"))} {_JOINED}""")
 def feature_table(spark, sf_dir):
     """The complete customer feature table: aggregates, time features, one-hot, scaled and WoE columns."""
     table = build_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS))[0]
     return rounded(table, **_SUMS, **_SIX)
 
 
-@query()
+_LINE_HOT = ", ".join(f"CAST(ChannelId = '{v}' AS BIGINT) AS \"ChannelId_{v}\"" for v in ("A", "N", "R"))
+
+
+@query(f"""WITH {_labeled_sql(TXN_LINES, ("ProductCategory", "ChannelId"))}, {_WOE}, agg AS ({_AGG_SQL}), {_GAPS}, {_VELOCITY}, modes AS ({_MODES}),
+hot AS (SELECT CustomerId, {_LINE_HOT}, round((count(*) OVER (PARTITION BY ProductCategory)) / (count(*) OVER ()) + 1e-9, 4) + 0.0 AS "ProductCategory_freq" FROM m),
+{_norm_sql(_LINE_NORM)}, {_woe_columns_sql(("ProductCategory", "ChannelId"))} {_JOINED}""")
 def feature_table_lines(spark, sf_dir):
     """The complete feature table of the line transactions, with a frequency-encoded brand."""
-    return build_features(txn_lines(spark, sf_dir), FeatureConfig(categories=("ProductCategory", "ChannelId")))[0]
+    table = build_features(txn_lines(spark, sf_dir), FeatureConfig(categories=("ProductCategory", "ChannelId")))[0]
+    return rounded(table, **_SUMS, **_SIX)
 
 
-@query()
+_BASIC_COLUMNS = ", ".join(f'agg."{n}"' for n in (
+    "CustomerId", *[f"{m}_{k}" for m in ("Amount", "Value") for k in ("sum", "mean", "max", "std", "skew")], "TransactionStartTime_count",
+    "TransactionStartTime_period", "Hour_mean", "Hour_std", "Weekday_mean", "Weekday_std", "Day_mean", "Month_mean", "Year_mean", "IsWeekend_mean"))
+
+
+@query(f"""WITH {TXN_ORDERS_SEGMENT}, m AS ({_modal_sql(_CATS)}),
+b AS ({" UNION ALL ".join(f"SELECT '{n}' AS feature, coalesce({n}, '__NA__') AS bin, FraudResult AS HasFraud FROM txn" for n in _CATS)}), {_WOE},
+agg AS ({_AGG_SQL}), modes AS ({_MODES}), hot AS (SELECT CustomerId, {_HOT_SQL} FROM m), {_norm_sql(_BASIC_NORM)}, {_woe_columns_sql(_CATS)}
+SELECT {_BASIC_COLUMNS}, modes.* EXCLUDE (CustomerId), hot.* EXCLUDE (CustomerId), norm.* EXCLUDE (CustomerId), enc.* EXCLUDE (CustomerId)
+FROM agg JOIN modes ON agg.CustomerId = modes.CustomerId JOIN hot ON agg.CustomerId = hot.CustomerId JOIN norm ON agg.CustomerId = norm.CustomerId JOIN enc ON agg.CustomerId = enc.CustomerId""")
 def feature_table_basic(spark, sf_dir):
     """The earlier, smaller feature set with WoE fitted on transactions."""
-    return build_features(txn_orders(spark, sf_dir, with_segment=True), BASIC)[0]
+    return rounded(build_features(txn_orders(spark, sf_dir, with_segment=True), BASIC)[0], **_SUMS)
 
 
 _DESCRIBED = """SELECT feature AS Feature, 'Weight of Evidence encoding for ' || replace(feature, '_woe', '') AS Description,
   'WoE coding (quantile binning)' AS Transformation, printf('%.4f', iv) AS IV_Value FROM iv"""
 
 
-@query(f"""WITH {_LABELED}, {_WOE}, iv AS (SELECT feature || '_woe' AS feature, sum(iv) AS iv FROM w GROUP BY feature HAVING sum(iv) >= 0.02),
-hot AS (SELECT DISTINCT feature || '_' || bin AS f FROM b) {_DESCRIBED}
-UNION ALL SELECT f, 'One-hot encoding for ' || f, 'One-hot encoding', '' FROM hot""")
-def feature_dictionary_encoded(spark, sf_dir):
-    """Dictionary rows of the encoded features with their information value."""
-    table = build_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS))[1]
-    return table.where(F.col("Transformation").isin("One-hot encoding", "WoE coding (quantile binning)"))
+_NUMERIC_NAMES = ([f"{m}_{k}" for m in ("Amount", "Value") for k in ("sum", "mean", "max", "std", "skew")] + ["TransactionStartTime_count", "TransactionStartTime_period"]
+                  + [f"Recent30_{m}_{k}" for m in ("Amount", "Value") for k in ("sum", "mean")] + ["Recent30_TransactionStartTime_count"]
+                  + [f"{p}_{k}" for p in ("Hour", "Weekday") for k in ("mean", "std")] + [f"{p}_{k}" for p in ("Day", "Month", "Year") for k in ("mean", "mode")]
+                  + ["IsWeekend_mean", "IsBusinessHours_mean"] + [f"{p}_{k}_mean" for p in ("Hour", "Month") for k in ("sin", "cos")]
+                  + [f"TimeSinceLast_{k}" for k in ("mean", "min", "max")] + [f"Velocity_{w}d_mean" for w in (1, 7, 30)])
+
 
+def _describe_sql(test_to_text: list[tuple[str, str, str]], column: int) -> str:
+    return "CASE " + " ".join(f"WHEN {t[0]} THEN {t[column]}" for t in test_to_text) + (" ELSE 'Generated feature' END" if column == 1 else " ELSE 'See transformation details' END")
 
-@query()
+
+_TEXTS = [
+    ("f LIKE '%_log_std'", "'Log-transformed and standardized ' || replace(f, '_log_std', '')", "'log1p + StandardScaler'"),
+    ("f LIKE 'Recent30%'", "'Recent 30-day activity: ' || f", "'Windowed aggregation'"),
+    ("f LIKE 'Velocity%'", "'Transaction velocity (average per ' || split_part(replace(f, 'd_mean', ''), '_', 2) || ' days)'", "'Rolling window calculation'"),
+    ("f LIKE 'TimeSinceLast%'", "'Recency metric: ' || split_part(f, '_', 2) || ' days since last transaction'", "'Time difference aggregation'"),
+    ("f LIKE '%/_sin/_%' ESCAPE '/' OR f LIKE '%/_cos/_%' ESCAPE '/'", "'Cyclical encoding for temporal patterns'", "'sin/cos transformation'"),
+    ("f LIKE 'Is%'", "'Fraction of transactions (' || replace(f, '_mean', '') || ')'", "'Boolean aggregation'"),
+    ("f LIKE 'Hour%' OR f LIKE 'Weekday%'", "'Temporal aggregation'", "'Extracted from timestamp, aggregated'"),
+    ("f LIKE 'Day%' OR f LIKE 'Month%' OR f LIKE 'Year%'", "'Calendar component aggregation'", "'Extracted from timestamp, aggregated'"),
+    ("f LIKE '%sum'", "'Sum of values'", "'Customer aggregation'"),
+    ("f LIKE '%mean'", "'Mean value'", "'Customer aggregation'"),
+    ("f LIKE '%skew'", "'Skewness of values'", "'Customer aggregation'"),
+]
+
+
+@query(f"""WITH {_LABELED}, {_WOE}, iv AS (SELECT feature || '_woe' AS feature, sum(iv) AS iv FROM w GROUP BY feature HAVING sum(iv) >= 0.02),
+hot AS (SELECT DISTINCT feature || '_' || bin AS f FROM b), names(f) AS (VALUES {", ".join(f"('{n}')" for n in [*_NUMERIC_NAMES, *[f"{n}_log_std" for n in _NORM]])})
+{_DESCRIBED} UNION ALL SELECT f, 'One-hot encoding for ' || f, 'One-hot encoding', '' FROM hot
+UNION ALL SELECT f, {_describe_sql(_TEXTS, 1)}, {_describe_sql(_TEXTS, 2)}, '' FROM names""")
 def feature_dictionary(spark, sf_dir):
     """Description, transformation and IV of every feature."""
     return build_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS))[1]

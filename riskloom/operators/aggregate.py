@@ -114,6 +114,7 @@ def modal_categories(txn: DataFrame, categories: list[str], cols: TxnColumns = D
     picks = []
     for i, n in enumerate(categories):
         mine = (F.col("f") == i) & F.col("v").isNotNull()
-        best = F.min(F.when(mine, F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))))
+        typed = F.col("v").cast(txn.schema[n].dataType)  # ties order by the column's own type
+        best = F.min(F.when(mine, F.struct((-F.col("n")).alias("n"), typed.alias("v"))))
         picks.append(best["v"].alias(n))
     return counts.groupBy(c(cols.id)).agg(*picks)

@@ -8,8 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "riskloom", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution, skew-join splitting and UTC time."""
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions that keep a full-size exchange near 128 MiB each; adaptive execution merges small ones."""
+    return max(200, min(200_000, input_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(app: str = "riskloom", master: str | None = None, input_bytes: int | None = None, **conf: str) -> SparkSession:
+    """A session with adaptive execution, skew-join splitting and UTC time.
+
+    Pass the size of the input to size the exchanges for it.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -20,6 +31,8 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         **conf,
     }
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
     for key, val in settings.items():
         builder = builder.config(key, val)
     return builder.getOrCreate()
