@@ -138,6 +138,17 @@ def leaderboard(spark, sf_dir):
     return T.leaderboard(T.train_all(_training_table(spark, sf_dir), grids=SMALL_GRIDS, folds=2), spark)
 
 
+@query(f"""WITH {CUSTOMERS}, k AS (SELECT HasFraud, greatest(1, CAST(floor(count(*) * 0.2) AS BIGINT)) AS n FROM cust GROUP BY HasFraud)
+SELECT CAST(2 AS BIGINT) AS models, CAST(0 AS BIGINT) AS outside, CAST(sum(n) AS BIGINT) AS test_rows, CAST(sum(CASE WHEN HasFraud = 1 THEN n END) AS BIGINT) AS test_positives FROM k""")
+def training_invariants(spark, sf_dir):
+    """Models are judged on the whole test part and their metrics lie in [0, 1]."""
+    models = T.train_all(_training_table(spark, sf_dir), grids={"logistic": {"C": [1]}, "random_forest": {"trees": [5], "depth": [3]}})
+    outside = sum(not 0 <= v <= 1 for m in models for v in m.metrics.values())
+    cells = M.confusion_matrix(models[0].predictions, "is_high_risk", "prediction")
+    return cells.agg(F.lit(len(models)).cast("bigint").alias("models"), F.lit(outside).cast("bigint").alias("outside"), F.sum("n").alias("test_rows"),
+                     F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("test_positives"))
+
+
 @query()
 def feature_importance(spark, sf_dir):
     """Twenty most important features of a random forest."""

@@ -12,8 +12,10 @@ from riskloom.operators.calendar import calendar_features as calendar_projection
 from riskloom.operators.encode import CategoryEncoder, category_shares
 from riskloom.operators.normalize import Normalizer
 from riskloom.operators.woe import Woe, bin_counts, information_values, iv_strength, woe_of_counts
+from riskloom.plans.dictionary import feature_dictionary as feature_dictionary_of
 from riskloom.plans.features import BASIC, FeatureConfig, build_features, fit_features
-from riskloom.session import materialize
+from riskloom.session import materialize, scratch_path
+from riskloom.sources.tables import write_features
 from riskloom.sources.transactions import txn_events, txn_lines, txn_orders
 
 
@@ -165,6 +167,15 @@ gaps AS (SELECT CustomerId, round(avg(gap) + 1e-9, 6) + 0.0 AS "TimeSinceLast_me
   round(max(gap) + 1e-9, 6) + 0.0 AS "TimeSinceLast_max" FROM g GROUP BY CustomerId)"""
 
 
+@query(f"WITH {TXN_EVENTS} {_AGG_SQL}")
+def feature_sink(spark, sf_dir):
+    """Features and dictionary written side by side; the features read back."""
+    table = A.customer_aggregates(txn_events(spark, sf_dir))
+    names = feature_dictionary_of(spark, [(n, "aggregate") for n in table.columns if n != "CustomerId"], {})
+    features, _ = write_features(table, names, scratch_path(spark, "features"))
+    return rounded(spark.read.parquet(features), **_SUMS)
+
+
 @query(f"WITH {TXN_EVENTS}, {_GAPS} SELECT * FROM gaps")
 def gap_statistics(spark, sf_dir):
     """Mean, smallest and largest gap per customer."""

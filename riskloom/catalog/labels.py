@@ -10,6 +10,8 @@ from riskloom.operators import rfm as R
 from riskloom.operators.aggregate import customer_target
 from riskloom.operators.normalize import population_moments, standardized
 from riskloom.plans.labels import proxy_label
+from riskloom.session import scratch_path
+from riskloom.sources.tables import write_labels
 from riskloom.sources.transactions import txn_events, txn_orders
 
 _DAY = 86400000000
@@ -96,6 +98,16 @@ def label_distribution(spark, sf_dir):
     return rounded(R.label_distribution(customer_target(txn_orders(spark, sf_dir)), "HasFraud"), 6)
 
 
+@query(f"WITH {_SEGMENTS} SELECT CustomerId, CAST(cluster = 2 AS BIGINT) AS is_high_risk, CAST(cluster = 2 AS BIGINT) AS base_label, Recency, Frequency FROM seg")
+def label_sink(spark, sf_dir):
+    """Labels and the analytics base table written and read back."""
+    table = _segments(spark, sf_dir)
+    labels = R.flag_high_risk(table, 2)
+    one, two = write_labels(labels, R.label_features(table.select("CustomerId", "Recency", "Frequency"), labels), scratch_path(spark, "labels"))
+    base = spark.read.parquet(two).withColumnRenamed("is_high_risk", "base_label")
+    return rounded(spark.read.parquet(one).join(base, "CustomerId"))
+
+
 @query()
 def high_risk_label(spark, sf_dir):
     """RFM clusters by k-means and the proxy risk label."""
@@ -108,14 +120,16 @@ def cluster_centers(spark, sf_dir):
     return proxy_label(txn_orders(spark, sf_dir)).centers()
 
 
-@query("SELECT count(DISTINCT o_custkey) AS customers, CAST(3 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced, CAST(1 AS BIGINT) AS risky_clusters FROM orders")
+@query("SELECT count(DISTINCT o_custkey) AS customers, CAST(3 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced, CAST(1 AS BIGINT) AS risky_clusters, CAST(0 AS BIGINT) AS drifted FROM orders")
 def kmeans_invariants(spark, sf_dir):
-    """Every customer sits in the cluster with the nearest centre and one cluster is risky."""
+    """Every customer sits in the cluster with the nearest centre, centres are the means of their members, one cluster is risky."""
     result = proxy_label(txn_orders(spark, sf_dir))
     table, centers = result.labels, result.clusters.centers
     stats = population_moments(table, {n: c(n).cast("double") for n in R.RFM})
     distances = [sum(((c(n) - F.lit(float(k[n]))) / F.lit(stats[n][1])) ** 2 for n in R.RFM) for k in centers]
     own = F.element_at(F.array(*distances), F.col("cluster") + 1)
-    return table.agg(F.count("*").alias("customers"), F.count_distinct("cluster").alias("clusters"),
+    means = {r["cluster"]: r for r in R.cluster_profile(table).collect()}  # three rows
+    drifted = sum(any(abs(k[n] - means[k["cluster"]][n]) > 0.02 * stats[n][1] for n in R.RFM) for k in centers)
+    return table.agg(F.lit(drifted).cast("bigint").alias("drifted"), F.count("*").alias("customers"), F.count_distinct("cluster").alias("clusters"),
                      F.count_if(own > F.least(*distances) + 1e-9).alias("misplaced"),
                      F.count_distinct(F.when(F.col("is_high_risk") == 1, F.col("cluster"))).alias("risky_clusters"))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 
 from riskloom.columns import DEFAULT, TxnColumns
 from riskloom.operators.rfm import RfmClusters, cluster_rfm, flag_high_risk, label_distribution, label_features, rfm, risky_cluster
+from riskloom.plans.dictionary import feature_dictionary
+from riskloom.plans.features import BASIC, FeatureConfig, build_features
 from riskloom.session import materialize
 
 
@@ -42,3 +44,11 @@ def proxy_label(
     labels = flag_high_risk(clusters.labeled, risky_cluster(clusters.centers, rule))
     joined = label_features(features, labels, cols.id) if features is not None else None
     return ProxyLabel(labels, joined, clusters, rule)
+
+
+def basic_features(txn: DataFrame, cfg: FeatureConfig = BASIC) -> tuple[DataFrame, DataFrame]:
+    """The earlier feature set with its own label: snapshot one day after the last transaction, frequency / monetary rule."""
+    features, dictionary = build_features(txn, cfg)
+    labeled = proxy_label(txn, features, cfg.cols, plus_days=1, rule="fm_dense").features_with_label
+    row = feature_dictionary(txn.sparkSession, [("is_high_risk", "label")], {})
+    return labeled, dictionary.unionByName(row)

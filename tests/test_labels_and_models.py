@@ -10,7 +10,7 @@ from riskloom.operators import metrics as M
 from riskloom.operators import rfm as R
 from riskloom.operators import score as S
 from riskloom.plans import training as T
-from riskloom.plans.labels import proxy_label
+from riskloom.plans.labels import basic_features, proxy_label
 from riskloom.session import scratch_path
 from riskloom.sources.artifacts import ModelNotLoadedError, load_metadata, load_model, save_model
 from riskloom.sources.tables import numeric_features
@@ -53,6 +53,13 @@ def test_documented_rule_labels_the_lapsed_group(txn):
     assert shares == pytest.approx({0: 2 / 3, 1: 1 / 3})
 
 
+def test_basic_features_carry_their_label(txn):
+    table, dictionary = basic_features(txn.withColumn("kind", F.col("g").cast("string")).drop("g"))
+    assert {r["is_high_risk"] for r in table.select("is_high_risk").distinct().collect()} == {0, 1}
+    assert table.count() == 300 and not [n for n in table.columns if n.startswith("Velocity")]
+    assert by_key(dictionary, "Feature")["is_high_risk"]["Transformation"] == "RFM clustering (KMeans) on transaction history"
+
+
 def test_scores_with_tied_ranks():
     centers = [{"Recency": 1.0, "Frequency": 5.0, "Monetary": 9.0, "cluster": 0}, {"Recency": 1.0, "Frequency": 3.0, "Monetary": 9.0, "cluster": 1},
                {"Recency": 7.0, "Frequency": 1.0, "Monetary": 2.0, "cluster": 2}]
