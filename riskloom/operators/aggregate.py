@@ -29,13 +29,17 @@ def recent_cutoff(txn: DataFrame, cols: TxnColumns = DEFAULT, days: int = RECENT
 
 
 def measure_stats(name: str) -> list[Column]:
-    """sum, mean, max, sample std and bias-corrected skew of one measure."""
-    x = c(name)
+    """sum, mean, max, sample std and bias-corrected skew of one measure.
+
+    Mean and std reuse the sum, count and population deviation that the others
+    need anyway: partial rows travel through the exchange, so each buffer counts.
+    """
+    x, n = c(name), F.count(c(name))
     return [
         F.coalesce(F.sum(x), F.lit(0)).alias(f"{name}_sum"),
-        F.avg(x).alias(f"{name}_mean"),
+        F.try_divide(F.sum(x), n).alias(f"{name}_mean"),
         F.max(x).alias(f"{name}_max"),
-        F.stddev_samp(x).alias(f"{name}_std"),
+        F.when(n > 1, F.stddev_pop(x) * F.sqrt(F.try_divide(n, n - 1))).alias(f"{name}_std"),
         sample_skewness(x).alias(f"{name}_skew"),
     ]
 
@@ -47,7 +51,7 @@ def recent_stats(cols: TxnColumns, recent: Column) -> list[Column]:
     for name in (cols.amount, cols.value):
         x = F.when(recent, c(name))
         out += [F.when(rows > 0, F.coalesce(F.sum(x), F.lit(0))).alias(f"Recent30_{name}_sum"),
-                F.avg(x).alias(f"Recent30_{name}_mean")]
+                F.try_divide(F.sum(x), F.count(x)).alias(f"Recent30_{name}_mean")]
     out.append(F.nullif(rows, F.lit(0)).alias(f"Recent30_{cols.time}_count"))
     return out
 

@@ -40,13 +40,21 @@ def calendar_features(txn: DataFrame, cols: TxnColumns = DEFAULT, cyclical: bool
 
 
 def calendar_means(time: Column, cyclical: bool = True) -> list[Column]:
-    """Mean of every part, and the spread of hour and weekday."""
+    """Mean of every part, and the spread of hour and weekday.
+
+    All means share one count, and the spreads come from exact integer sums of
+    squares, so a partial row carries one number per statistic.
+    """
     parts = calendar_parts(time, cyclical)
+    n = F.count(time)
     aggs = []
     for name, part in parts.items():
         if name == "IsBusinessHours" and not cyclical:
             continue
-        aggs.append(F.avg(part).alias(f"{name}_mean"))
+        rows = F.count(F.lit(1)) if name.startswith("Is") else n  # flags are 0 without a time
+        aggs.append(F.try_divide(F.sum(part), rows).alias(f"{name}_mean"))
         if name in ("Hour", "Weekday"):
-            aggs.append(F.stddev_samp(part).alias(f"{name}_std"))
+            total, squares = F.sum(part), F.sum(part * part)
+            spread = F.greatest(squares - total * F.try_divide(total, n), F.lit(0.0))  # in doubles: no overflow at any count
+            aggs.append(F.sqrt(F.try_divide(spread, n - 1)).alias(f"{name}_std"))
     return aggs
