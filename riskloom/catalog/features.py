@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from riskloom.catalog.base import TXN_EVENTS, TXN_LINES, TXN_ORDERS, TXN_ORDERS_SEGMENT, query, rounded
@@ -70,7 +72,8 @@ def customer_aggregates_events(spark, sf_dir):
 @query(f"WITH {TXN_LINES} {_AGG_SQL}")
 def customer_aggregates_lines(spark, sf_dir):
     """The same features from the line table joined with orders and parts."""
-    return rounded(A.customer_aggregates(txn_lines(spark, sf_dir)), **_SUMS)
+    # the joined rows are read twice (latest time, aggregates), so the join is done once
+    return rounded(A.customer_aggregates(materialize(txn_lines(spark, sf_dir), "lines")), **_SUMS)
 
 
 @query(f"WITH {TXN_ORDERS} SELECT CustomerId, {_recent_sql('true')} FROM txn WHERE ts >= {_RECENT} GROUP BY CustomerId")
@@ -371,7 +374,7 @@ SELECT k.CustomerId, names.n || '_' || names.v AS feature, round(CAST(hot.v = na
 UNION ALL SELECT b.CustomerId, b.feature || '_woe', round(coalesce(w.woe, 0) + 1e-9, 4) + 0.0 FROM b JOIN i USING (feature) LEFT JOIN w ON b.feature = w.feature AND b.bin = w.bin""")
 def feature_table_encoded(spark, sf_dir):
     """Encoded part of the feature table in long form: one-hot columns and kept WoE features."""
-    model = fit_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS))
+    model = fit_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS, stage_input=True))
     wide = model.features_of(model.base)
     names = model.encoder.feature_names + [f"{n}_woe" for n in model.woe_features]
     pairs = F.array(*[F.struct(F.lit(n).alias("feature"), c(n).cast("double").alias("value")) for n in names])
@@ -407,7 +410,7 @@ _JOINED = "SELECT * EXCLUDE (HasFraud) FROM agg JOIN modes USING (CustomerId) JO
 {_norm_sql(_NORM)}, {_woe_columns_sql(("ProductCategory", "ProviderId"))} {_JOINED}""")
 def feature_table(spark, sf_dir):
     """The complete customer feature table: aggregates, time features, one-hot, scaled and WoE columns."""
-    table = build_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS))[0]
+    table = build_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS, stage_input=True))[0]
     return rounded(table, **_SUMS, **_SIX)
 
 
@@ -419,7 +422,7 @@ hot AS (SELECT CustomerId, {_LINE_HOT}, round((count(*) OVER (PARTITION BY Produ
 {_norm_sql(_LINE_NORM)}, {_woe_columns_sql(("ProductCategory", "ChannelId"))} {_JOINED}""")
 def feature_table_lines(spark, sf_dir):
     """The complete feature table of the line transactions, with a frequency-encoded brand."""
-    table = build_features(txn_lines(spark, sf_dir), FeatureConfig(categories=("ProductCategory", "ChannelId")))[0]
+    table = build_features(txn_lines(spark, sf_dir), FeatureConfig(categories=("ProductCategory", "ChannelId"), stage_input=True))[0]
     return rounded(table, **_SUMS, **_SIX)
 
 
@@ -435,7 +438,7 @@ SELECT {_BASIC_COLUMNS}, modes.* EXCLUDE (CustomerId), hot.* EXCLUDE (CustomerId
 FROM agg JOIN modes ON agg.CustomerId = modes.CustomerId JOIN hot ON agg.CustomerId = hot.CustomerId JOIN norm ON agg.CustomerId = norm.CustomerId JOIN enc ON agg.CustomerId = enc.CustomerId""")
 def feature_table_basic(spark, sf_dir):
     """The earlier, smaller feature set with WoE fitted on transactions."""
-    return rounded(build_features(txn_orders(spark, sf_dir, with_segment=True), BASIC)[0], **_SUMS)
+    return rounded(build_features(txn_orders(spark, sf_dir, with_segment=True), replace(BASIC, stage_input=True))[0], **_SUMS)
 
 
 _DESCRIBED = """SELECT feature AS Feature, 'Weight of Evidence encoding for ' || replace(feature, '_woe', '') AS Description,
@@ -474,4 +477,4 @@ hot AS (SELECT DISTINCT feature || '_' || bin AS f FROM b), names(f) AS (VALUES
 UNION ALL SELECT f, {_describe_sql(_TEXTS, 1)}, {_describe_sql(_TEXTS, 2)}, '' FROM names""")
 def feature_dictionary(spark, sf_dir):
     """Description, transformation and IV of every feature."""
-    return build_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS))[1]
+    return build_features(txn_orders(spark, sf_dir, with_segment=True), FeatureConfig(categories=_CATS, stage_input=True))[1]

@@ -56,5 +56,5 @@ def calendar_means(time: Column, cyclical: bool = True) -> list[Column]:
         if name in ("Hour", "Weekday"):
             total, squares = F.sum(part), F.sum(part * part)
             spread = F.greatest(squares - total * F.try_divide(total, n), F.lit(0.0))  # in doubles: no overflow at any count
-            aggs.append(F.sqrt(F.try_divide(spread, n - 1)).alias(f"{name}_std"))
+            aggs.append(F.when(n > 1, F.sqrt(F.try_divide(spread, n - 1))).alias(f"{name}_std"))
     return aggs

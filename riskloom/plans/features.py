@@ -32,6 +32,7 @@ class FeatureConfig:
     woe_level: str = "customer"  # or "transaction": maps fitted on raw rows
     woe_bins: int = 4
     min_iv: float | None = MIN_IV  # None keeps every feature
+    stage_input: bool = False  # write the transactions once, when they are a join or another costly plan
 
 
 # the earlier, smaller feature set: no recent, cyclical, gap or velocity block, WoE on transactions without a filter
@@ -107,6 +108,8 @@ class FeatureModel:
 
 def fit_features(txn: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> FeatureModel:
     """Build the customer base once, then fit encoders, scaler and WoE on it."""
+    if cfg.stage_input:
+        txn = materialize(txn, "transactions")
     base, categories = customer_base(txn, cfg)
     base = materialize(base, "customer-base")
     has_label = "HasFraud" in base.columns

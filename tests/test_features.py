@@ -109,7 +109,7 @@ def test_rows_without_a_time(spark):
     txn = spark.sql("select * from values ('A', timestamp'2025-01-04 10:00:00'), ('A', null), ('B', null) as t(CustomerId, TransactionStartTime)")
     rows = by_key(customer_aggregates(txn.selectExpr("*", "1D as Amount", "1D as Value")))
     assert rows["A"]["IsWeekend_mean"] == 0.5 and rows["A"]["Hour_mean"] == 10 and rows["A"]["Hour_std"] is None
-    assert rows["B"]["Hour_mean"] is None and rows["B"]["IsBusinessHours_mean"] == 0 and rows["B"]["TransactionStartTime_period"] is None
+    assert rows["B"]["Hour_mean"] is None and rows["B"]["Hour_std"] is None and rows["B"]["IsBusinessHours_mean"] == 0 and rows["B"]["TransactionStartTime_period"] is None
 
 
 def brute_force(pdf):
