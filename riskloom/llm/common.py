@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +21,37 @@ SPACES = " \t\n\x0b\x0c\r"
 CHUNK_BYTES = 1 << 20  # texts are worked on in runs of about this size, so memory does not follow the Arrow batch
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="riskloom-package-")) / "riskloom-package.zip"  # the driver serves it to all executors
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: str) -> DataFrame:
     """Only the columns an operator needs, under fixed names, so that other columns cannot clash.
 
     A null text becomes empty.
     """
+    ship_package(docs.sparkSession)
     extra = [c(name).alias(alias) for alias, name in more.items()]
     return docs.select(c(id_col).alias("doc_id"), F.coalesce(c(text_col).cast("string"), F.lit("")).alias("text"), *extra)
 
@@ -88,16 +115,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+def spans(lengths: list[int], size: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts of about ``size`` bytes; a longer text stands alone."""
     start = total = 0
-    for i, t in enumerate(texts):
-        if i > start and total + len(t) > size:
+    for i, n in enumerate(lengths):
+        if i > start and total + n > size:
             yield start, i
             start, total = i, 0
-        total += len(t) + 1
-    if len(texts) > start:
-        yield start, len(texts)
+        total += n + 1
+    if len(lengths) > start:
+        yield start, len(lengths)
+
+
+def text_runs(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Runs of an Arrow column of texts as bytes, with their index range."""
+    for start, stop in spans(pc.binary_length(texts).to_pylist(), size):
+        yield start, stop, texts.slice(start, stop - start).cast(pa.binary()).to_pylist()
 
 
 class Words:

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.llm.common import documents
+from riskloom.llm.bpe import encode_decode
+from riskloom.llm.common import documents, labels
 from riskloom.llm.exact_dedup import exact_duplicates
 from riskloom.llm.mixing import mix_sources
+from riskloom.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -49,3 +53,16 @@ k AS (SELECT doc_id, CAST(sum(size) AS BIGINT) AS taken FROM t WHERE total <= bu
 SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(k.taken, 0) AS taken FROM q LEFT JOIN k USING (doc_id)""")
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("source")
+
+
+@_query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_toxicity(docs, fit_toxicity(docs, labels(spark, sf_dir)))
+
+
+@_query()
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
