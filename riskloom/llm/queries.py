@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.bpe import encode_decode
+from riskloom.llm.classifier import classify, fit_classifier
 from riskloom.llm.common import documents, labels
 from riskloom.llm.exact_dedup import exact_duplicates
 from riskloom.llm.mixing import mix_sources
+from riskloom.llm.quality_rules import apply_rules, fit_quality
 from riskloom.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +57,18 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("source")
 
 
+@_query()
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return apply_rules(docs, fit_quality(docs, labels(spark, sf_dir)))
+
+
+@_query()
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return classify(docs, fit_classifier(docs, labels(spark, sf_dir)))
+
+
 @_query()
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import Words, crc_fold, mix64, text_runs
 from riskloom.llm.training import collect_features, labelled_sample, sigmoid
 
-SAMPLE_ROWS = 8_000  # labelled documents the model is fitted on, at most
+SAMPLE_ROWS = 16_000  # labelled documents the model is fitted on, at most
 BITS = 20
 EPOCHS = 3
 THRESHOLD = 0.3
@@ -86,11 +86,10 @@ class ToxicityModel:
         return score(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def fit_ftrl(rows: list[tuple[bytes, int]], alpha: float = 0.15, beta: float = 1.0, l1: float = 1.5, l2: float = 1.0, epochs: int = EPOCHS) -> ToxicityModel:
+def fit_ftrl(rows: list[tuple[bytes, int]], alpha: float = 2.0, beta: float = 1.0, l1: float = 3.0, l2: float = 0.0, epochs: int = EPOCHS) -> ToxicityModel:
     """FTRL-proximal: ``z`` gathers gradients less the proximal pull, ``n`` their squares; the last place is the bias (no L1)."""
     bias = 1 << BITS
     z, n = np.zeros(bias + 1), np.zeros(bias + 1)
-    examples = [(np.append(np.frombuffer(x, dtype=np.uint32).astype(np.int64), bias), y) for x, y in rows]
     shrink = np.full(bias + 1, l1)
     shrink[bias] = 0.0
 
@@ -99,8 +98,9 @@ def fit_ftrl(rows: list[tuple[bytes, int]], alpha: float = 0.15, beta: float = 1
         return np.where(np.abs(zi) <= shrink[i], 0.0, -(zi - np.sign(zi) * shrink[i]) / ((beta + np.sqrt(n[i])) / alpha + l2))
 
     for epoch in range(epochs):
-        for k in np.random.default_rng(epoch).permutation(len(examples)):
-            at, y = examples[k]
+        for k in np.random.default_rng(epoch).permutation(len(rows)):
+            x, y = rows[k]
+            at = np.append(np.frombuffer(x, dtype=np.uint32).astype(np.int64), bias)
             w = weights(at)
             g = sigmoid(w.sum()) - y
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha * w
