@@ -12,6 +12,7 @@ from riskloom.llm.bpe import encode_decode
 from riskloom.llm.classifier import classify, fit_classifier
 from riskloom.llm.common import documents, labels
 from riskloom.llm.exact_dedup import exact_duplicates
+from riskloom.llm.licenses import scan_licenses
 from riskloom.llm.mixing import mix_sources
 from riskloom.llm.quality_rules import apply_rules, fit_quality
 from riskloom.llm.toxicity import fit_toxicity, score_toxicity
@@ -69,6 +70,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, fit_classifier(docs, labels(spark, sf_dir)))
 
 
+@_query()
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 @_query()
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
