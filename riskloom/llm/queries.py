@@ -14,6 +14,7 @@ from riskloom.llm.common import documents, labels
 from riskloom.llm.exact_dedup import exact_duplicates
 from riskloom.llm.licenses import scan_licenses
 from riskloom.llm.mixing import mix_sources
+from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.quality_rules import apply_rules, fit_quality
 from riskloom.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -58,6 +59,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("source")
 
 
+@_query()
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), k=3, percent=85)
+
+
 @_query()
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
