@@ -15,6 +15,7 @@ from riskloom.llm.exact_dedup import exact_duplicates
 from riskloom.llm.licenses import scan_licenses
 from riskloom.llm.mixing import mix_sources
 from riskloom.llm.near_dedup import near_duplicates
+from riskloom.llm.pii import personal_data_digest
 from riskloom.llm.quality_rules import apply_rules, fit_quality
 from riskloom.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -87,6 +88,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, labels(spark, sf_dir)))
 
 
+@_query()
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_digest(documents(spark, sf_dir))
+
+
 @_query()
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
