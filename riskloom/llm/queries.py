@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.bpe import encode_decode
 from riskloom.llm.classifier import classify, fit_classifier
 from riskloom.llm.common import documents, labels
+from riskloom.llm.context_mixing import score_texts
 from riskloom.llm.exact_dedup import exact_duplicates
 from riskloom.llm.licenses import scan_licenses
 from riskloom.llm.mixing import mix_sources
@@ -71,6 +72,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(docs, fit_quality(docs, labels(spark, sf_dir)))
 
 
+@_query()
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir))
+
+
 @_query()
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
