@@ -2,13 +2,13 @@
 
 A document is its set of word shingles. Documents with equal sets are one class, and only the smallest id of a class goes on. Each tree of the forest
 sorts the signatures from another starting value; documents whose signatures begin alike lie side by side, the longer their common prefix the
-closer. The first common value makes two documents neighbours in a region; inside it, order by the further values gives each its neighbours with
+closer. Two common values make documents neighbours in a region; inside it, order by the further values gives each its neighbours with
 the longest common prefix, so the depth used grows where a region is dense. Documents alone in their regions need no more work. For the rest the full sets
 travel in each tree's order, range-partitioned, and every document is compared with those just before it and with the region's hubs (those with most links
 so far, as the original of many different copies has); pairs already connected are not compared again. Links hold on full sets; components are
 found by min-label rounds with shortcuts, all in Spark.
 
-Two documents of similarity s share no first value in any tree with chance (1 - s) ** TREES, 6e-9 at 0.85; tests measure recall against brute force.
+Two documents of similarity s share a region in none of the trees with chance (1 - s ** SHARED) ** TREES, 3e-6 at 0.85; tests measure recall against brute force.
 
 Defined results: null and empty texts have an empty set and are linked with nothing; a text of fewer words than a shingle is one shingle; repeated rows share a
 component, and a null id takes part with the smallest id of its class; other columns are ignored.
@@ -30,9 +30,10 @@ from riskloom.session import materialize
 TREES = 10
 VALUES_PER_TREE = 6
 DEPTH = 8  # signature values a tree is sorted by; equal ones are ordered by id
+SHARED = 2  # values at the front that the documents of a region have in common
 RECENT = 8  # neighbours before a document in a tree's order
 HUBS = 8
-LEAST_TREES = 2  # regions a document must share with others to be looked at
+ITEM_BYTES = 6  # of each shingle hash, when full sets travel: two sets of 1,000 mix up a pair with chance 1e-8
 
 _VALUES = TREES * VALUES_PER_TREE
 _RNG = np.random.default_rng(77)
@@ -77,13 +78,27 @@ def _signatures(rows: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, digest binary, signature binary")
 
 
-def _sets(rows: DataFrame, k: int) -> DataFrame:
+def pack(items: np.ndarray) -> bytes:
+    """The upper bytes of sorted hashes."""
+    return (items >> np.uint64(64 - 8 * ITEM_BYTES)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ITEM_BYTES].tobytes()
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // ITEM_BYTES, 8), dtype=np.uint8)
+    out[:, :ITEM_BYTES] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, ITEM_BYTES)
+    return out.view("<u8").reshape(-1)
+
+
+def _with_sets(placed: DataFrame, k: int) -> DataFrame:
+    """Rows (doc_id, text, places) with the packed set in place of the text."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop, texts in text_runs(batch.column("text")):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), pa.array([s.tobytes() for s in shingle_sets(texts, k)], pa.binary())], ["doc_id", "items"])
+                part = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("places"), pa.array([pack(s) for s in shingle_sets(texts, k)], pa.binary())], ["doc_id", "places", "items"])
 
-    return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, items binary")
+    kinds = {n: placed.schema[n].dataType.simpleString() for n in ("doc_id", "places")}
+    return placed.select("doc_id", "places", "text").mapInArrow(work, f"doc_id {kinds['doc_id']}, places {kinds['places']}, items binary")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -142,9 +157,9 @@ def _links(placed: DataFrame, percent: int) -> DataFrame:
             columns = [batch.column(name) for name in ("part", "tree", "key", "doc_id", "items")]
             for i in range(batch.num_rows):
                 part, tree, key, doc, items = (col[i].as_py() for col in columns)
-                if at != (part, tree, key[:4]):
-                    at, region = (part, tree, key[:4]), _Region()
-                for other in region.add(doc, np.frombuffer(items, dtype=np.uint64), percent):
+                if at != (part, tree, key[:4 * SHARED]):
+                    at, region = (part, tree, key[:4 * SHARED]), _Region()
+                for other in region.add(doc, unpack(items), percent):
                     left.append(min(doc, other))
                     right.append(max(doc, other))
             yield pa.RecordBatch.from_arrays([pa.array(left, batch.schema.field("doc_id").type), pa.array(right, batch.schema.field("doc_id").type)], ["a", "b"])
@@ -170,6 +185,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("id", F.col("c").alias("component"))
 
 
+def repeated_ids(rows: DataFrame, id_col: str = "doc_id") -> bool:
+    """Is any id there more than once?"""
+    return rows.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").limit(1).count() > 0
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
     rows = narrow(docs, id_col, text_col)
@@ -178,15 +198,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     # trees: the signature read from another place, around its end
     twice = F.concat("signature", "signature")
     trees = F.array(*[F.substring(twice, 4 * VALUES_PER_TREE * t + 1, 4 * DEPTH) for t in range(TREES)])
-    forest = classes.select("rep", F.posexplode(trees).alias("tree", "key")).withColumn("first", F.substring("key", 1, 4))
-    regions = forest.groupBy("tree", "first").count().where("count > 1").drop("count")
-    shared = materialize(forest.join(regions, ["tree", "first"]).select("tree", "key", F.col("rep").alias("doc_id")), "regions")
-    taking_part = shared.groupBy("doc_id").count().where(F.col("count") >= LEAST_TREES).select("doc_id")
-    sets = materialize(_sets(rows.join(taking_part, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
-    n = shared.count()
-    parts = parts_for(n)
-    slim = materialize(shared.join(taking_part, "doc_id", "left_semi").repartitionByRange(parts, "tree", "key", "doc_id").withColumn("part", F.spark_partition_id()), "forest")
-    placed = slim.join(sets, "doc_id").repartition(parts, "part").sortWithinPartitions("part", "tree", "key", "doc_id")
+    forest = classes.select("rep", F.posexplode(trees).alias("tree", "key")).withColumn("front", F.substring("key", 1, 4 * SHARED))
+    regions = forest.groupBy("tree", "front").count().where("count > 1").drop("count")
+    shared = materialize(forest.join(regions, ["tree", "front"]).select("tree", "key", F.col("rep").alias("doc_id")), "regions")
+    parts = parts_for(shared.count())
+    ordered = shared.repartitionByRange(parts, "tree", "key", "doc_id").withColumn("part", F.spark_partition_id())
+    places = materialize(ordered.groupBy("doc_id").agg(F.collect_list(F.struct("part", "tree", "key")).alias("places")), "places")  # one place a tree at most
+    sets = _with_sets(rows.dropDuplicates(["doc_id"]).join(places, "doc_id") if repeated_ids(marked) else rows.join(places, "doc_id"), k)
+    placed = sets.select("doc_id", F.explode("places").alias("p"), "items").select("p.*", "doc_id", "items").repartition(parts, "part").sortWithinPartitions("part", "tree", "key", "doc_id")
     found = components(materialize(_links(placed, percent), "pairs"))
     by_class = classes.join(found, classes["rep"] == found["id"], "left").select(F.col("digest").alias("class"), F.coalesce("component", "rep").alias("component"))
     out = marked.join(by_class, marked["digest"] == by_class["class"], "left")
@@ -198,5 +217,4 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col:
     """The rows of ``docs`` that stay (the smallest id of each component), with their columns; of repeated rows one stays."""
     kept = near_duplicates(docs, k, percent, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"))
     stay = docs.join(kept, docs[id_col].eqNullSafe(F.col("__id")), "left_semi")
-    repeated = docs.groupBy(id_col).count().where("count > 1").limit(1).count()
-    return stay.dropDuplicates([id_col]) if repeated else stay
+    return stay.dropDuplicates([id_col]) if repeated_ids(docs, id_col) else stay
