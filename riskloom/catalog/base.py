@@ -46,6 +46,12 @@ def rounded(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
     return df.select(*out)
 
 
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """Timestamps as ``yyyy-MM-dd HH:mm:ss``, for comparison between engines."""
+    times = [f.name for f in df.schema.fields if f.dataType.simpleString().startswith(("timestamp", "date"))]
+    return df.withColumns({n: F.date_format(c(n), "yyyy-MM-dd HH:mm:ss") for n in times})
+
+
 TXN_ORDERS = """txn AS (
   SELECT o_orderkey AS TransactionId, o_custkey AS CustomerId, o_totalprice AS Amount, o_totalprice AS "Value",
          o_orderdate AS ts, o_orderpriority AS ProductCategory, o_orderstatus AS ChannelId,

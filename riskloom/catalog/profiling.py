@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.catalog.base import TXN_ORDERS_SEGMENT, query, rounded
+from riskloom.catalog.base import TXN_ORDERS_SEGMENT, dates_as_text, query, rounded
 from riskloom.operators import profile as P
 from riskloom.operators.clean import impute_medians, impute_missing_text
 from riskloom.operators.correlation import correlation_matrix
@@ -36,6 +36,9 @@ _COUNTS = " UNION ALL ".join(
     for n in ("TransactionId", "CustomerId", "Amount", "Value", "ProductCategory", "ProviderId", "ChannelId"))
 
 
+_ADVICE = " ".join(f"WHEN '{k}' THEN '" + v.replace("'", "''") + "'" for k, v in P.SUGGESTION_TEXT.items())
+
+
 @query("""SELECT 'rows' AS item, count(*) AS n FROM orders
 UNION ALL SELECT 'columns', 6 UNION ALL SELECT 'dtype bigint', 2 UNION ALL SELECT 'dtype string', 2
 UNION ALL SELECT 'dtype double', 1 UNION ALL SELECT 'dtype timestamp_ntz', 1""")
@@ -46,11 +49,11 @@ def overview(spark, sf_dir):
     return spark.createDataFrame(rows, "item string, n bigint")
 
 
-@query("""SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice + 1e-9, 4) + 0.0 AS o_totalprice, o_orderpriority
-FROM orders ORDER BY o_orderkey LIMIT 3""")
+@query("""SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice + 1e-9, 4) + 0.0 AS o_totalprice,
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 3""")
 def preview(spark, sf_dir):
     """First three rows by key."""
-    return rounded(P.preview(spark.read.parquet(f"{sf_dir}/orders.parquet"), ["o_orderkey"]).drop("o_orderdate"))
+    return rounded(dates_as_text(P.preview(spark.read.parquet(f"{sf_dir}/orders.parquet"), ["o_orderkey"])))
 
 
 @query("\nUNION ALL\n".join(f"""SELECT '{n}' AS "column", count({n}) AS count, round(avg({n}) + 1e-9, 4) + 0.0 AS mean, round(stddev_samp({n}) + 1e-9, 4) + 0.0 AS std,
@@ -76,17 +79,19 @@ def describe_text(spark, sf_dir):
 @query(GAPS + f""", m AS ({_COUNTS}),
 d AS (SELECT 'Amount' AS "column", count(DISTINCT Amount) AS Nunique FROM gaps UNION ALL SELECT 'Value', count(DISTINCT "Value") FROM gaps
       UNION ALL SELECT 'ProviderId', count(DISTINCT ProviderId) FROM gaps UNION ALL SELECT 'ChannelId', count(DISTINCT ChannelId) FROM gaps),
-s AS (SELECT 'ProviderId' AS "column", array_to_string(list_sort(list(DISTINCT ProviderId))[1:3], ',') AS Sample FROM gaps WHERE ProviderId IS NOT NULL
-      UNION ALL SELECT 'ChannelId', array_to_string(list_sort(list(DISTINCT ChannelId))[1:3], ',') FROM gaps WHERE ChannelId IS NOT NULL)
-SELECT m."column", m.Missing, m.Percent, CASE WHEN m."column" IN ('Amount', 'Value') THEN 'double' ELSE 'string' END AS Dtype, d.Nunique, s.Sample,
+s AS (SELECT 'Amount' AS "column", array_to_string(list_sort(list(DISTINCT Amount))[1:3], ',') AS Sample FROM gaps WHERE Amount IS NOT NULL
+      UNION ALL SELECT 'Value', array_to_string(list_sort(list(DISTINCT "Value"))[1:3], ',') FROM gaps WHERE "Value" IS NOT NULL
+      UNION ALL SELECT 'ProviderId' AS "column", array_to_string(list_sort(list(DISTINCT ProviderId))[1:3], ',') AS Sample FROM gaps WHERE ProviderId IS NOT NULL
+      UNION ALL SELECT 'ChannelId', array_to_string(list_sort(list(DISTINCT ChannelId))[1:3], ',') FROM gaps WHERE ChannelId IS NOT NULL),
+a AS (SELECT m."column", m.Missing, m.Percent, CASE WHEN m."column" IN ('Amount', 'Value') THEN 'double' ELSE 'string' END AS Dtype, d.Nunique, s.Sample,
   CASE WHEN m."column" IN ('Amount', 'Value') THEN CASE WHEN Percent <= 5 THEN 'median' WHEN Percent <= 30 THEN 'median_or_model' ELSE 'consider_drop_or_model' END
        ELSE CASE WHEN Percent <= 20 THEN 'mode' WHEN Percent <= 50 THEN 'mode_with_flag' ELSE 'consider_drop_or_new_category' END END AS Suggestion
-FROM m JOIN d USING ("column") LEFT JOIN s USING ("column") WHERE m.Missing > 0""")
+FROM m JOIN d USING ("column") LEFT JOIN s USING ("column") WHERE m.Missing > 0)
+SELECT *, CASE Suggestion """+_ADVICE+""" END AS Suggestion_Explanation FROM a""")
 def missing_table(spark, sf_dir):
     """Missing-value diagnostics with imputation advice."""
     table = P.missing_table(orders_with_gaps(spark, sf_dir))
-    text = F.when(F.col("Dtype") == "string", F.array_join("Sample", ","))
-    return table.select("column", "Missing", "Percent", "Dtype", "Nunique", text.alias("Sample"), "Suggestion")
+    return table.withColumn("Sample", F.array_join("Sample", ","))
 
 
 @query(GAPS + f", m AS ({_COUNTS}) SELECT * FROM m WHERE Missing > 0 ORDER BY Missing DESC, \"column\" LIMIT 5")

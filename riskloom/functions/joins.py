@@ -18,9 +18,9 @@ SAMPLE_ROWS = 100_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Count rows, and the bytes of their values as text, of at most ``max_rows + 1`` rows."""
+    """Count rows, and the bytes of their values as text; both are added up where the rows are."""
     width = sum((F.coalesce(F.octet_length(F.col(f"`{n}`").cast("string")), F.lit(0)) for n in df.columns), F.lit(0))
-    n, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return n <= max_rows and size <= max_bytes
 
 
@@ -52,7 +52,8 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     if not hot:
         return left.join(right, lk == rk, how)
     # a hash of the row, not a random number: a task that runs again must send its rows to the same place
-    spread = F.when(lk.isin(hot), F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in left.columns]), F.lit(SALTS))).otherwise(0).cast("int")
+    # null keys match nothing, so they may go anywhere: spread them too
+    spread = F.when(lk.isin(hot) | lk.isNull(), F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in left.columns]), F.lit(SALTS))).otherwise(0).cast("int")
     copies = F.when(rk.isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     salted = left.withColumn("__salt", spread)
     repeated = right.withColumn("__copy", F.explode(copies))
@@ -88,9 +89,12 @@ def freeze(df: DataFrame, name: str, max_rows: int = MAX_LOCAL_ROWS) -> Lookup:
     """Compute a lookup once and fix its contents.
 
     Up to ``max_rows`` rows become a local table (the count is the size check);
-    a larger one is written to the shared folder.
+    a larger one is written to the shared folder. The plan runs once.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return Lookup(materialize(df, name), False)
-    return Lookup(df.sparkSession.createDataFrame(head, schema=df.schema), True)
+    kept = df.persist()
+    try:
+        if kept.count() > max_rows:
+            return Lookup(materialize(kept, name), False)
+        return Lookup(df.sparkSession.createDataFrame(kept.toArrow(), schema=df.schema), True)
+    finally:
+        kept.unpersist()

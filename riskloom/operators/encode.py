@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions.exprs import NULL_TOKEN, c
 from riskloom.functions.joins import Lookup, freeze
@@ -14,9 +15,10 @@ from riskloom.operators.profile import column_value_counts
 LOW_CARDINALITY = 8  # fixed value: most distinct values, null included, that are one-hot encoded
 
 
-def filled(name: str) -> Column:
-    """Category as text with the null bucket."""
-    return F.coalesce(c(name).cast("string"), F.lit(NULL_TOKEN))
+def filled(name: str, kind: T.DataType | None = None) -> Column:
+    """Category as text with the null bucket; NaN of a fractional ``kind`` is missing too."""
+    value = F.when(~F.isnan(c(name)), c(name)) if isinstance(kind, (T.DoubleType, T.FloatType)) else c(name)
+    return F.coalesce(value.cast("string"), F.lit(NULL_TOKEN))
 
 
 @dataclass
@@ -31,8 +33,8 @@ class CategoryEncoderModel:
     def feature_names(self) -> list[str]:
         return [f"{n}_{v}" for n, vs in self.one_hot.items() for v in vs] + [f"{n}_freq" for n in self.frequency_cols]
 
-    def one_hot_exprs(self) -> list[Column]:
-        return [(filled(n) == F.lit(v)).cast("int").alias(f"{n}_{v}") for n, vs in self.one_hot.items() for v in vs]
+    def one_hot_exprs(self, schema: T.StructType) -> list[Column]:
+        return [(filled(n, schema[n].dataType) == F.lit(v)).cast("int").alias(f"{n}_{v}") for n, vs in self.one_hot.items() for v in vs]
 
     def transform(self, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
         """Encoded columns next to ``keep`` (default: all columns); unseen values give 0."""
@@ -40,14 +42,14 @@ class CategoryEncoderModel:
         out = df
         for n in self.frequency_cols:
             mine = self.shares.where(F.col("feature") == n).select(F.col("value").alias("__v"), F.col("share").alias(f"{n}_freq"))
-            out = mine.attach(out, filled(n), "__v")
+            out = mine.attach(out, filled(n, df.schema[n].dataType), "__v")
         shares = [F.coalesce(c(f"{n}_freq"), F.lit(0.0)).alias(f"{n}_freq") for n in self.frequency_cols]
-        return out.select(*[c(k) for k in keep], *self.one_hot_exprs(), *shares)
+        return out.select(*[c(k) for k in keep], *self.one_hot_exprs(df.schema), *shares)
 
 
 def category_shares(df: DataFrame, cols: list[str]) -> DataFrame:
     """``feature, value, n, share`` with nulls counted under the null token."""
-    counts = column_value_counts(df.select(*[filled(n).alias(n) for n in cols]), cols)
+    counts = column_value_counts(df.select(*[filled(n, df.schema[n].dataType).alias(n) for n in cols]), cols)
     totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
     return (counts.join(F.broadcast(totals), "feature")  # one row per column
             .select("feature", "value", "n", (F.col("n") / F.col("total")).alias("share")))

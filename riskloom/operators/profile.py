@@ -108,7 +108,7 @@ def missing_table(df: DataFrame, cols: list[str] | None = None, sample: int = 3)
     """Diagnostics of the columns that have missing values, most missing first.
 
     Only columns with missing values are counted further. The sample is the
-    smallest distinct values; each map task keeps only its own first few before
+    smallest distinct values, numbers by size; each map task keeps only its own first few before
     the shuffle. A table without rows gives an empty report.
     """
     found = missing_counts(df, cols).where(F.col("Missing") > 0).collect()  # one row per column
@@ -118,9 +118,11 @@ def missing_table(df: DataFrame, cols: list[str] | None = None, sample: int = 3)
     report = df.sparkSession.createDataFrame(found, "column string, Missing bigint, Percent double")
     values = column_value_counts(nan_to_null(df.select(*[c(n) for n in cols])), cols).where(F.col("value").isNotNull())
     distinct = values.groupBy(F.col("feature").alias("column")).agg(F.count("*").alias("Nunique"))
-    first = values.withColumn("r", F.row_number().over(Window.partitionBy("feature").orderBy("value"))).where(F.col("r") <= sample)
-    samples = first.groupBy(F.col("feature").alias("column")).agg(F.array_sort(F.collect_list("value")).alias("Sample"))
     kinds = {f.name: f.dataType for f in df.schema.fields}
+    by_size = F.when(F.col("feature").isin([n for n in cols if isinstance(kinds[n], T.NumericType)]), F.col("value").try_cast("double"))
+    first = values.withColumn("r", F.row_number().over(Window.partitionBy("feature").orderBy(by_size, "value"))).where(F.col("r") <= sample)
+    ordered = F.array_sort(F.collect_list(F.struct("r", "value")))
+    samples = first.groupBy(F.col("feature").alias("column")).agg(F.transform(ordered, lambda x: x["value"]).alias("Sample"))
     type_map = F.create_map(*[F.lit(x) for n in cols for x in (n, kinds[n].simpleString())])
     numbers = [n for n in cols if isinstance(kinds[n], T.NumericType)]
     is_number = F.col("column").isin(numbers) if numbers else F.lit(False)

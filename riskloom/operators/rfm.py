@@ -53,11 +53,10 @@ class RfmClusters:
 
 
 def cluster_rfm(table: DataFrame, k: int = 3, seed: int = 42, starts: int = 10, scale: bool = True,
-                agree: int = 3) -> RfmClusters:
+                parallelism: int = 3) -> RfmClusters:
     """k-means on standardised RFM; the cheapest of several starts wins.
 
-    Starts end early once ``agree`` of them reach the same cost. Clusters are
-    numbered by their centre (most recent first), not by chance of the start.
+    All starts run. Clusters are numbered by their centre (most recent first), not by chance of the start.
     ``table`` is read many times: pass a materialised one.
     """
     n = table.count()
@@ -72,13 +71,8 @@ def cluster_rfm(table: DataFrame, k: int = 3, seed: int = 42, starts: int = 10,
         fitted = KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4, featuresCol="__v", predictionCol="__c").fit(vectors)
         return fitted.summary.trainingCost, i, fitted
 
-    runs: list[tuple[float, int, KMeansModel]] = []
-    with ThreadPool(agree) as pool:  # threads submit jobs side by side
-        for first in range(0, starts, agree):
-            runs += pool.map(start, range(first, min(first + agree, starts)))
-            least = min(r[0] for r in runs)
-            if sum(abs(r[0] - least) <= 1e-6 * max(least, 1e-12) for r in runs) >= agree:
-                break
+    with ThreadPool(parallelism) as pool:  # threads submit jobs side by side
+        runs: list[tuple[float, int, KMeansModel]] = pool.map(start, range(starts))
     vectors.unpersist()
     cost, _, model = min(runs, key=lambda r: r[:2])
     raw = [[z * (stats[f][1] or 1.0) + stats[f][0] for f, z in zip(RFM, center)] for center in model.clusterCenters()]

@@ -118,9 +118,9 @@ class WoeModel:
     def table(self) -> DataFrame:
         return self.lookup.df
 
-    def bin_exprs(self) -> dict[str, Column]:
+    def bin_exprs(self, schema: T.StructType) -> dict[str, Column]:
         key = c(self.key) if self.key else F.lit(None)
-        out = {n: filled(n) for n in self.categorical}
+        out = {n: filled(n, schema[n].dataType) for n in self.categorical}
         out.update({n: e.bin_of(c(n).cast("double"), key) for n, e in self.edges.items()})
         return out
 
@@ -130,7 +130,7 @@ class WoeModel:
 
     def transform(self, df: DataFrame, features: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
         """Add ``<feature>_woe``; bins never seen at fit time give 0."""
-        bins = self.bin_exprs()
+        bins = self.bin_exprs(df.schema)
         features = list(bins) if features is None else features
         out = df
         for n in features:
@@ -174,6 +174,6 @@ class Woe:
                 else:
                     edges[n] = width_edges(df, n, self.bins)
         model = WoeModel(Lookup(df, False), [n for n in features if n not in edges], edges, self.key, {})
-        table = freeze(woe_of_counts(bin_counts(df, model.bin_exprs(), self.label)), "woe-table")
+        table = freeze(woe_of_counts(bin_counts(df, model.bin_exprs(df.schema), self.label)), "woe-table")
         ivs = {r["feature"]: r["iv"] for r in information_values(table.df).collect()}  # one row per feature
         return WoeModel(table, model.categorical, edges, self.key, {n: ivs[n] for n in features if n in ivs})

@@ -5,17 +5,18 @@ from __future__ import annotations
 import math
 import uuid
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.functions.exprs import c, numeric_columns, string_columns
+from riskloom.functions.exprs import c, numeric_columns
 from riskloom.functions.order_stats import exact_quantiles
 from riskloom.operators.metrics import evaluate, fingerprint
 from riskloom.operators.normalize import population_moments
@@ -64,9 +65,10 @@ class TabularPrep(Estimator):
             name, median = _sql_name(n), medians[n][0] or 0.0
             mean, std = moments[n][0] or 0.0, moments[n][1] or 1.0
             parts.append(f"(coalesce(nullif(cast({name} as double), cast('NaN' as double)), {median!r}D) - {mean!r}D) / {std!r}D as {_sql_name('__n_' + n)}")
+        texts = df.select(*[c(n).cast("string").alias(n) for n in self.categorical])
+        tops = texts.agg(*[F.mode(c(n), True).alias(n) for n in self.categorical]).first().asDict() if self.categorical else {}  # the smallest of equals
         for n in self.categorical:
-            top = df.where(c(n).isNotNull()).groupBy(c(n).alias("v")).count().orderBy(F.col("count").desc(), "v").first()
-            parts.append(f"coalesce(cast({_sql_name(n)} as string), {_sql_text(str(top['v']) if top else '')}) as {_sql_name('__c_' + n)}")
+            parts.append(f"coalesce(cast({_sql_name(n)} as string), {_sql_text(tops[n] or '')}) as {_sql_name('__c_' + n)}")
         return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
 
 
@@ -77,15 +79,17 @@ def prep_stages(numeric: list[str], categorical: list[str]) -> list:
     if categorical:
         indexed, hot = [f"__i_{n}" for n in categorical], [f"__h_{n}" for n in categorical]
         stages += [StringIndexer(inputCols=[f"__c_{n}" for n in categorical], outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
-                   OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True, handleInvalid="keep")]
+                   OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True, handleInvalid="error")]  # the last index is the unknown value: no slot
         inputs += hot
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
 def route_columns(df: DataFrame, label: str, keys: list[str]) -> tuple[list[str], list[str]]:
-    """Numeric and text feature columns; label and keys are no features."""
+    """Numeric feature columns, and all others (text, booleans, dates) that are encoded as text; label and keys are no features."""
     skip = {label, "fold", "weight", *keys}
-    return ([n for n in numeric_columns(df) if n not in skip], [n for n in string_columns(df) if n not in skip])
+    numeric = [n for n in numeric_columns(df) if n not in skip]
+    nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+    return numeric, [f.name for f in df.schema.fields if f.name not in skip and f.name not in numeric and not isinstance(f.dataType, nested)]
 
 
 def with_balanced_weights(df: DataFrame, label: str) -> tuple[DataFrame, int]:
@@ -160,6 +164,28 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return out.withColumn("score", vector_to_array("probability")[1]).withColumn("prediction", F.col("prediction").cast("int"))
 
 
+def cross_validate(df: DataFrame, label: str, keys: list[str], stages: list, est, params: list[dict], folds: int = FOLDS, parallelism: int = 4) -> list[float]:
+    """Mean ROC-AUC of every setting over stratified folds.
+
+    Preparation is fitted once per fold; all settings of a fold share its vectors, and ``parallelism`` of them fit side by side.
+    """
+    folded = stratified_folds(df, label, keys, folds, SEED).persist()
+    judge = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+    totals = [0.0] * len(params)
+    for fold in range(folds):
+        inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
+        prep = Pipeline(stages=stages).fit(inside)
+        fit_rows, test_rows = (prep.transform(x).select(c(label), "weight", "features").persist() for x in (inside, outside))
+        fit_rows.count()
+        with ThreadPool(parallelism) as pool:  # threads submit jobs side by side
+            found = pool.map(lambda p: judge.evaluate(est.copy(p).fit(fit_rows).transform(test_rows)), params)
+        totals = [t + x / folds for t, x in zip(totals, found)]
+        fit_rows.unpersist()
+        test_rows.unpersist()
+    folded.unpersist()
+    return totals
+
+
 def train(
     train_df: DataFrame,
     test_df: DataFrame,
@@ -179,15 +205,8 @@ def train(
     tries = _combinations(grid)
     scores = [math.nan] * len(tries)
     if len(tries) > 1:
-        folded = stratified_folds(weighted, label, list(keys), folds, SEED).persist()
         params = [_settings(name, est, t, n * (folds - 1) / folds) for t in tries]
-        # the validator refits its winner on all rows; regularisation depends on the row count, so that fit is repeated below
-        search = CrossValidator(
-            estimator=Pipeline(stages=[*stages, est]), estimatorParamMaps=params or ParamGridBuilder().build(),
-            evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"),
-            numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED)
-        scores = list(search.fit(folded).avgMetrics)
-        folded.unpersist()
+        scores = cross_validate(weighted, label, list(keys), stages, est, params, folds, parallelism)
     best = tries[max(range(len(tries)), key=lambda i: -math.inf if math.isnan(scores[i]) else scores[i])]
     final = est.copy(_settings(name, est, best, n))
     model = Pipeline(stages=[*stages, final]).fit(weighted)
@@ -202,7 +221,9 @@ def train_all(df: DataFrame, label: str = "is_high_risk", keys: tuple[str, ...]
     train_df, test_df = model_split(df, label, list(keys), test_frac, SEED)
     train_df, test_df = train_df.persist(), test_df.persist()
     grids = GRIDS if grids is None else grids
-    return [train(train_df, test_df, name, label, keys, grid, folds, parallelism) for name, grid in grids.items()]
+    models = [train(train_df, test_df, name, label, keys, grid, folds, parallelism) for name, grid in grids.items()]
+    train_df.unpersist()  # the test part stays: predictions read it
+    return models
 
 
 def leaderboard(models: list[TrainedModel], spark: SparkSession) -> DataFrame:

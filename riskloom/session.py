@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -47,18 +49,20 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    A local master may go without the setting and gets a temporary folder; on a
-    cluster a missing setting is an error, since a machine-local folder would
-    lose data with its machine.
+    A single-process master (``local``, ``local[n]``) may go without the setting
+    and gets a temporary folder; elsewhere a missing setting is an error, since a
+    machine-local folder would lose data with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     global _LOCAL_DIR
     if _LOCAL_DIR is None:
         _LOCAL_DIR = tempfile.mkdtemp(prefix="riskloom-")
+        atexit.register(shutil.rmtree, _LOCAL_DIR, ignore_errors=True)
     return _LOCAL_DIR
 
 
