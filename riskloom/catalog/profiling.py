@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.catalog.base import TXN_ORDERS_SEGMENT, dates_as_text, query, rounded
+from riskloom.functions.order_stats import exact_quantiles
 from riskloom.operators import profile as P
 from riskloom.operators.clean import impute_medians, impute_missing_text
 from riskloom.operators.correlation import correlation_matrix
@@ -66,6 +67,16 @@ def describe(spark, sf_dir):
     return rounded(P.describe(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey"]))
 
 
+@query("\nUNION ALL\n".join(f"""SELECT '{n}' AS feature, round(quantile_cont({n}::DOUBLE, 0.25) + 1e-9, 4) + 0.0 AS p25,
+  round(quantile_cont({n}::DOUBLE, 0.5) + 1e-9, 4) + 0.0 AS p50, round(quantile_cont({n}::DOUBLE, 0.99) + 1e-9, 4) + 0.0 AS p99 FROM lineitem"""
+                            for n in ("l_quantity", "l_extendedprice", "l_discount")))
+def quantiles_by_counting(spark, sf_dir):
+    """Exact quantiles by rounds of counting, the way of tables too large for one aggregate."""
+    names = ["l_quantity", "l_extendedprice", "l_discount"]
+    found = exact_quantiles(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), names, [0.25, 0.5, 0.99], one_pass_values=0)
+    return rounded(spark.createDataFrame([(n, *found[n]) for n in names], "feature string, p25 double, p50 double, p99 double"))
+
+
 @query("""WITH v AS (SELECT 'o_orderpriority' AS f, o_orderpriority AS v FROM orders UNION ALL SELECT 'o_orderstatus', o_orderstatus FROM orders),
 n AS (SELECT f, v, count(*) AS n FROM v WHERE v IS NOT NULL GROUP BY f, v),
 r AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY n DESC, v) AS r FROM n)

@@ -235,3 +235,36 @@ def test_stream_equals_batch(spark, tmp_path):
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 4 and sum(r["error"] == "Malformed record" for r in rows) == 1
     assert {r["customer_id"]: r["probability"] for r in rows if r["error"] is None}["A"] == 0.5
+
+
+def test_nan_and_null_share_the_missing_bin(spark):
+    from riskloom.operators.woe import Woe
+
+    nan = float("nan")
+    df = spark.createDataFrame([(1, nan, 1), (2, nan, 0), (3, None, 1), (4, 1.0, 0), (5, 1.0, 1), (6, 1.0, 0)], "id long, x double, y int")
+    model = Woe(["x"], "y", 5, "id").fit(df)
+    bins = {r["bin"]: (r["good"], r["bad"]) for r in model.table.collect()}
+    assert bins == {"__NA__": (1.0, 2.0), "1.0": (2.0, 1.0)}
+    woe = {r["id"]: r["x_woe"] for r in model.transform(df).collect()}
+    assert woe[1] == woe[2] == woe[3] != woe[4]
+
+
+def test_unknown_text_has_no_slot_and_no_column_is_lost(spark):
+    from pyspark.ml import Pipeline
+    from riskloom.plans.training import prep_stages, route_columns
+
+    rows = [(1, 1.0, "a", True, "2024-01-01", 0), (2, 2.0, "b", False, "2024-01-02", 1), (3, 3.0, "a", True, "2024-01-01", 1)]
+    df = spark.createDataFrame(rows, "CustomerId long, n double, t string, flag boolean, d string, y int").selectExpr("CustomerId", "n", "t", "flag", "cast(d as date) d", "y")
+    numeric, text = route_columns(df, "y", ["CustomerId"])
+    assert (numeric, sorted(text)) == (["n"], ["d", "flag", "t"])
+    model = Pipeline(stages=prep_stages(numeric, text)).fit(df)
+    other = spark.createDataFrame([(9, 2.0, "unseen", None, "2030-01-01", 0)], "CustomerId long, n double, t string, flag boolean, d string, y int").selectExpr("CustomerId", "n", "t", "flag", "cast(d as date) d", "y")
+    vector = model.transform(other).first()["features"].toArray()
+    assert len(vector) == 1 + 2 + 2 + 2 and sum(vector[1:]) == 1  # the missing flag takes the most frequent value; unseen text and date are zeros
+
+
+def test_missing_report_orders_numbers_by_size(spark):
+    from riskloom.operators.profile import missing_table
+
+    df = spark.createDataFrame([(3,), (20,), (100,), (None,), (7,)], "n int")
+    assert missing_table(df).first()["Sample"] == ["3", "7", "20"]
