@@ -21,6 +21,7 @@ from riskloom.session import materialize
 ROUNDS = 3
 WEIGHTS = 3  # weights 1, 2, 3, repeating
 TIME_UNIT = 6  # divisible by every weight
+ROWS_PER_RANGE = 20_000  # of the sorted orders; the driver samples each range's bounds
 
 
 def _targets(sized: DataFrame, budget: int) -> DataFrame:
@@ -52,7 +53,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.monotonically_increasing_id().alias("row"))
     sized = materialize(sized, "mix-sizes")
     n, budget = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    parts = parts_for(n)
+    parts = parts_for(n, ROWS_PER_RANGE)
     placed = running_total(sized, [F.col("source").isNull(), F.col("source"), F.col("key"), F.col("row")], ["size"], parts, "mix-order")
     targets = _targets(sized, budget)
     queued = placed.join(targets, placed["source"].eqNullSafe(targets["__source"])).drop("__source")
@@ -62,7 +63,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "times", F.array(*[(F.col("first") + i * F.col("source_size")) * step for i in range(ROUNDS)])).drop("size_total", "before", "first", "weight"), "mix-queue")
     copies = queued.where("size > 0").select("size", "rank", "key", "row", F.posexplode("times").alias("round", "time"))
     order = ["time", "rank", "key", "row"]
-    summed = running_total(copies, [F.col(x) for x in order], ["size"], parts_for(ROUNDS * n), "mix-copies")
+    summed = running_total(copies, [F.col(x) for x in order], ["size"], parts_for(ROUNDS * n, ROWS_PER_RANGE), "mix-copies")
     last = summed.where(F.col("size_total") <= budget).agg(F.max(F.struct(*order)).alias("last")).first()["last"]
     if last is None:
         taken = F.lit(0)
