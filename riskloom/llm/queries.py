@@ -13,7 +13,7 @@ from riskloom.llm.classifier import classify, fit_classifier
 from riskloom.llm.common import documents, labels
 from riskloom.llm.context_mixing import score_texts
 from riskloom.llm.exact_dedup import exact_duplicates
-from riskloom.llm.licenses import scan_licenses
+from riskloom.llm.licenses import BASE_PHRASES, MIN_COVER, NEIGHBOURS, PASSAGES, scan_licenses
 from riskloom.llm.mixing import mix_sources
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.pii import personal_data_digest
@@ -61,7 +61,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(documents(spark, sf_dir)).drop("source")
 
 
-@_query()
+@_query(r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id, min(r.c) = d.doc_id AS kept FROM d JOIN r ON r.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""")
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=3, percent=85)
 
@@ -83,7 +92,24 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, fit_classifier(docs, labels(spark, sf_dir)))
 
 
-@_query()
+_TEMPLATES = ", ".join(f"({i}, '{text}', '{label}', {str(i < len(BASE_PHRASES)).lower()})" for i, (text, label) in enumerate([*BASE_PHRASES, *PASSAGES]))
+
+
+@_query(rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT template, label, is_base, string_split(phrase, ' ') AS p FROM (VALUES {_TEMPLATES}) AS v(template, phrase, label, is_base)),
+tg AS (SELECT *, len(p) - 2 AS n_grams, unnest(range(0, len(p) - 2)) AS place FROM t),
+dg AS (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 2, 0))) AS pos FROM d),
+h AS (SELECT DISTINCT doc_id, template, place, pos - place AS diagonal FROM dg JOIN tg ON w[pos + 1] = p[place + 1] AND w[pos + 2] = p[place + 2] AND w[pos + 3] = p[place + 3]),
+v AS (SELECT DISTINCT doc_id, template, diagonal, is_base FROM h JOIN t USING (template)),
+e AS (SELECT *, CASE WHEN is_base OR diagonal - lag(diagonal) OVER o <= {NEIGHBOURS} IS NOT TRUE THEN 1 ELSE 0 END AS new_run FROM v WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+r AS (SELECT *, sum(new_run) OVER (PARTITION BY doc_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS run FROM e),
+m AS (SELECT doc_id, template, run, min(diagonal + place) AS first_word, count(DISTINCT place) AS covered FROM h JOIN r USING (doc_id, template, diagonal) GROUP BY ALL),
+s AS (SELECT doc_id, label, is_base, first_word, covered / (len(p) - 2) AS cover FROM m JOIN t USING (template) WHERE CASE WHEN is_base THEN covered = len(p) - 2 ELSE covered / (len(p) - 2) >= {MIN_COVER} END),
+f AS (SELECT doc_id, count(*) FILTER (is_base) AS n_base, min(first_word) FILTER (is_base) AS first_word, max(first_word) FILTER (is_base) AS last_word,
+      string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score FROM s GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN f USING (doc_id)""")
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
