@@ -4,9 +4,9 @@ A document is its set of word shingles. Documents with equal sets are one class,
 sorts the signatures from another starting value; documents whose signatures begin alike lie side by side, the longer their common prefix the
 closer. Two common values make documents neighbours in a region; inside it, order by the further values gives each its neighbours with
 the longest common prefix, so the depth used grows where a region is dense. Documents alone in their regions need no more work. For the rest the full sets
-travel in each tree's order, range-partitioned, and every document is compared with those just before it and with the region's hubs (those with most links
-so far, as the original of many different copies has); pairs already connected are not compared again. Links hold on full sets; components are
-found by min-label rounds with shortcuts, all in Spark.
+travel in each tree's order, range-partitioned, and every document is compared with all of its region before it in the range, through an index of
+their shingles that gives full intersections; of the links found, those between documents not yet connected go on. The index of a region forgets its
+oldest half beyond ``INDEX_ITEMS`` shingles; such documents meet in the other trees' orders. Components are found by min-label rounds with shortcuts, all in Spark.
 
 Two documents of similarity s share a region in none of the trees with chance (1 - s ** SHARED) ** TREES, 3e-6 at 0.85; tests measure recall against brute force.
 
@@ -16,7 +16,7 @@ component, and a null id takes part with the smallest id of its class; other col
 
 from __future__ import annotations
 
-from collections import deque
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +31,8 @@ TREES = 10
 VALUES_PER_TREE = 6
 DEPTH = 8  # signature values a tree is sorted by; equal ones are ordered by id
 SHARED = 2  # values at the front that the documents of a region have in common
-RECENT = 8  # neighbours before a document in a tree's order
-HUBS = 8
+INDEX_ITEMS = 1_000_000
+ROWS_PER_RANGE = 4_000  # of a tree's order
 ITEM_BYTES = 6  # of each shingle hash, when full sets travel: two sets of 1,000 mix up a pair with chance 1e-8
 
 _VALUES = TREES * VALUES_PER_TREE
@@ -101,65 +101,73 @@ def _with_sets(placed: DataFrame, k: int) -> DataFrame:
     return placed.select("doc_id", "places", "text").mapInArrow(work, f"doc_id {kinds['doc_id']}, places {kinds['places']}, items binary")
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Jaccard similarity of two sorted sets reaches ``percent`` per cent."""
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = np.concatenate([a, b])
-    both.sort(kind="stable")
-    common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= percent * (len(a) + len(b) - common)
-
-
 class _Region:
-    """Documents of one region seen so far: the latest ones, the hubs, and who is connected with whom."""
-
-    def __init__(self):
-        self.recent: deque = deque(maxlen=RECENT)
-        self.hubs: dict = {}
-        self.parent: dict = {}
-        self.links: dict = {}
-
-    def root(self, x):
-        while self.parent[x] != x:
-            self.parent[x] = x = self.parent[self.parent[x]]
-        return x
-
-    def add(self, doc, items: np.ndarray, percent: int) -> list:
-        """Partners found for a new document."""
-        found = []
-        self.parent[doc] = doc
-        self.links[doc] = 0
-        near = [*reversed(self.recent), *((d, s) for d, s in self.hubs.items() if all(d != r for r, _ in self.recent))]
-        for other, their in near:
-            if self.root(other) != self.root(doc) and similar(items, their, percent):
-                self.parent[self.root(doc)] = self.root(other)
-                found.append(other)
-                for x, s in ((other, their), (doc, items)):
-                    self.links[x] += 1
-                    if x in self.hubs or len(self.hubs) < HUBS:
-                        self.hubs[x] = s
-                    elif self.links[x] > self.links[least := min(self.hubs, key=self.links.__getitem__)]:
-                        del self.hubs[least]
-                        self.hubs[x] = s
-        self.recent.append((doc, items))
+    """Documents of one region seen so far: an index of their shingles, and who is connected with whom."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.docs: list = []
+        self.sets: list[list[int]] = []
+        self.parent: list[int] = []
+        self.sizes = array("i")
+        self.index: dict[int, array] = {}
+        self.items = 0
+
+    def _root(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = i = self.parent[self.parent[i]]
+        return i
+
+    def add(self, doc, items: list[int]) -> list:
+        """A partner for each group of documents that the new one connects with."""
+        me, found = len(self.docs), []
+        self.parent.append(me)
+        lists = [x for x in map(self.index.get, items) if x is not None]
+        if lists:
+            common = np.bincount(np.frombuffer(b"".join(lists), dtype=np.int32), minlength=me)
+            both = np.frombuffer(self.sizes, dtype=np.int32) + len(items) - common
+            for other in np.flatnonzero(100 * common >= self.percent * both).tolist():
+                if self._root(other) != self._root(me):
+                    self.parent[self._root(other)] = self._root(me)
+                    found.append(self.docs[other])
+        self.docs.append(doc)
+        self.sizes = self.sizes + array("i", [len(items)])
+        self.sets.append(items)
+        self._enter(me)
+        if self.items > INDEX_ITEMS:
+            kept = [k for k in range(len(self.docs) // 2, len(self.docs))]
+            roots = {}
+            parents = [roots.setdefault(self._root(k), at) for at, k in enumerate(kept)]
+            self.docs, self.sets, self.sizes = [self.docs[k] for k in kept], [self.sets[k] for k in kept], self.sizes[kept[0]:]
+            self.parent, self.index, self.items = parents, {}, 0
+            for k in range(len(kept)):
+                self._enter(k)
         return found
 
+    def _enter(self, at: int) -> None:
+        for item in self.sets[at]:
+            known = self.index.get(item)
+            if known is None:
+                self.index[item] = array("i", [at])
+            else:
+                known.append(at)
+        self.items += len(self.sets[at])
+
 
 def _links(placed: DataFrame, percent: int) -> DataFrame:
     """Verified links of rows (part, tree, key, doc_id, items) that come sorted."""
     kind = placed.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, region = None, _Region()
+        at, region = None, _Region(percent)
         for batch in batches:
             left, right = [], []
             columns = [batch.column(name) for name in ("part", "tree", "key", "doc_id", "items")]
             for i in range(batch.num_rows):
                 part, tree, key, doc, items = (col[i].as_py() for col in columns)
                 if at != (part, tree, key[:4 * SHARED]):
-                    at, region = (part, tree, key[:4 * SHARED]), _Region()
-                for other in region.add(doc, unpack(items), percent):
+                    at, region = (part, tree, key[:4 * SHARED]), _Region(percent)
+                for other in region.add(doc, unpack(items).tolist()):
                     left.append(min(doc, other))
                     right.append(max(doc, other))
             yield pa.RecordBatch.from_arrays([pa.array(left, batch.schema.field("doc_id").type), pa.array(right, batch.schema.field("doc_id").type)], ["a", "b"])
@@ -201,7 +209,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     forest = classes.select("rep", F.posexplode(trees).alias("tree", "key")).withColumn("front", F.substring("key", 1, 4 * SHARED))
     regions = forest.groupBy("tree", "front").count().where("count > 1").drop("count")
     shared = materialize(forest.join(regions, ["tree", "front"]).select("tree", "key", F.col("rep").alias("doc_id")), "regions")
-    parts = parts_for(shared.count())
+    parts = parts_for(shared.count(), ROWS_PER_RANGE)
     ordered = shared.repartitionByRange(parts, "tree", "key", "doc_id").withColumn("part", F.spark_partition_id())
     places = materialize(ordered.groupBy("doc_id").agg(F.collect_list(F.struct("part", "tree", "key")).alias("places")), "places")  # one place a tree at most
     sets = _with_sets(rows.dropDuplicates(["doc_id"]).join(places, "doc_id") if repeated_ids(marked) else rows.join(places, "doc_id"), k)

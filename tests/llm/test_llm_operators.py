@@ -119,6 +119,13 @@ def test_star_shaped_families_and_chains(spark):
         assert {i: r["component_id"] for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
 
 
+def test_a_region_that_forgets_still_links_neighbours(monkeypatch):
+    monkeypatch.setattr(near_dedup, "INDEX_ITEMS", 2_000)
+    region = near_dedup._Region(85)
+    links = [region.add(i, list(range(i, i + 100))) for i in range(300)]  # each is like those just before it
+    assert all(found and max(found) >= i - 8 for i, found in enumerate(links) if i) and len(region.docs) < 30
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 501)], "a long, b long")
     got = {r["id"]: r["component"] for r in near_dedup.components(links).collect()}
