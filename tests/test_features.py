@@ -193,7 +193,7 @@ def test_woe_numeric_bins_follow_first_ranks(spark):
     values = [(i, float(v), i % 2) for i, v in enumerate([5, 5, 5, 5, 1, 9, 9, 2, 3, 5])]
     df = spark.createDataFrame(values, "k int, x double, y int")
     model = Woe(["x"], "y", 4, "k").fit(df)
-    bins = df.select("k", "x", model.bin_exprs()["x"].alias("b")).toPandas().sort_values(["x", "k"])
+    bins = df.select("k", "x", model.bin_exprs(df.schema)["x"].alias("b")).toPandas().sort_values(["x", "k"])
     want = [max(1, math.ceil((r - 1) * 4 / 9)) for r in range(1, 11)]
     assert bins["b"].tolist() == want
 
