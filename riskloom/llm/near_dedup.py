@@ -6,7 +6,11 @@ closer. Two common values make documents neighbours in a region; inside it, orde
 the longest common prefix, so the depth used grows where a region is dense. Documents alone in their regions need no more work. For the rest the full sets
 travel in each tree's order, range-partitioned, and every document is compared with all of its region before it in the range, through an index of
 their shingles that gives full intersections; of the links found, those between documents not yet connected go on. The index of a region forgets its
-oldest half beyond ``INDEX_ITEMS`` shingles; such documents meet in the other trees' orders. Components are found by min-label rounds with shortcuts, all in Spark.
+oldest half beyond ``INDEX_ITEMS`` shingles. Components are found by min-label rounds with shortcuts, all in Spark.
+
+Regions that a range's border or the index cut short, and that are not one component yet, are then finished: their documents, sorted by component, are dealt
+into blocks, and every block meets every block of its region, but for those that are wholly of one component. So each pair in a region is compared or
+known to be connected, at any size of the region; the work grows with the square only of what is not connected.
 
 Two documents of similarity s share a region in none of the trees with chance (1 - s ** SHARED) ** TREES, 3e-6 at 0.85; tests measure recall against brute force.
 
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import Words, mix64, narrow, parts_for, shingles, text_runs
@@ -175,6 +179,119 @@ def _links(placed: DataFrame, percent: int) -> DataFrame:
     return placed.select("part", "tree", "key", "doc_id", "items").mapInArrow(work, f"a {kind}, b {kind}")
 
 
+class _Block:
+    """Documents of one side of a pair of blocks, and who is connected with whom on both sides."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+        self.docs: list = []
+        self.sets: list[np.ndarray] = []
+        self.groups: dict = {}
+        self.of: list[int] = []
+        self.joined: dict[int, int] = {}
+        self.values: np.ndarray | None = None
+
+    def _group(self, component) -> int:
+        at = self.groups.setdefault(component, len(self.groups))
+        while at in self.joined:
+            at = self.joined[at]
+        return at
+
+    def add(self, doc, component, items: np.ndarray) -> None:
+        self.docs.append(doc)
+        self.sets.append(items)
+        self.of.append(self._group(component))
+
+    def _build(self) -> None:
+        sizes = np.array([len(s) for s in self.sets])
+        joined = np.concatenate(self.sets)
+        order = np.argsort(joined, kind="stable")
+        self.owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+        self.values, self.cuts = np.unique(joined[order], return_index=True)
+        self.cuts = np.append(self.cuts, len(joined))
+        self.sizes, self.of, self.sets = sizes, np.array(self.of), []
+
+    def meet(self, doc, component, items: np.ndarray) -> list:
+        """A partner for each group of documents that one of the other side connects with."""
+        if self.values is None:
+            self._build()
+        mine = self._group(component)
+        if (self.of == mine).all():
+            return []
+        at = np.minimum(np.searchsorted(self.values, items), len(self.values) - 1)
+        at = at[self.values[at] == items]
+        found = []
+        if len(at):
+            common = np.bincount(np.concatenate([self.owner[a:b] for a, b in zip(self.cuts[at].tolist(), self.cuts[at + 1].tolist())]), minlength=len(self.docs))
+            for other in np.flatnonzero((100 * common >= self.percent * (self.sizes + len(items) - common)) & (self.of != mine)).tolist():
+                group = int(self.of[other])
+                if group != mine:
+                    self.joined[group] = mine
+                    self.of[self.of == group] = mine
+                    found.append(self.docs[other])
+        return found
+
+
+def _block_links(placed: DataFrame, percent: int) -> DataFrame:
+    """Verified links of rows (pair, side, component, doc_id, items) that come sorted."""
+    kind = placed.schema["doc_id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = None, _Block(percent)
+        for batch in batches:
+            left, right = [], []
+            columns = [batch.column(name) for name in ("pair", "side", "component", "doc_id", "items")]
+            for i in range(batch.num_rows):
+                pair, side, component, doc, items = (col[i].as_py() for col in columns)
+                if at != pair:
+                    at, block = pair, _Block(percent)
+                if side == 0:
+                    block.add(doc, component, unpack(items))
+                    continue
+                for other in block.meet(doc, component, unpack(items)):
+                    left.append(min(doc, other))
+                    right.append(max(doc, other))
+            yield pa.RecordBatch.from_arrays([pa.array(left, batch.schema.field("doc_id").type), pa.array(right, batch.schema.field("doc_id").type)], ["a", "b"])
+
+    return placed.select("pair", "side", "component", "doc_id", "items").mapInArrow(work, f"a {kind}, b {kind}")
+
+
+def _finish(texts: DataFrame, k: int, percent: int, places: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of ``links`` and of all links inside the regions that were cut short."""
+    found = components(links)
+    spread = places.select("doc_id", "n", F.explode("places").alias("p")).select("doc_id", "n", "p.part", "p.tree", F.substring("p.key", 1, 4 * SHARED).alias("front"))
+    cut = spread.groupBy("tree", "front").agg(F.count("*").alias("rows"), F.sum("n").alias("items"), F.min("part").alias("first"), F.max("part").alias("last"))
+    # large regions take turns by tree, because the trees' regions hold much the same documents: what one tree connects, the next need not compare
+    turn = F.when(F.col("rows") > ROWS_PER_RANGE, F.col("tree")).otherwise(-1).alias("turn")
+    cut = cut.where((F.col("first") < F.col("last")) | (F.col("items") > INDEX_ITEMS)).select("tree", "front", turn)  # fewer than ranges and full indexes
+    left = materialize(spread.join(F.broadcast(cut), ["tree", "front"]).select("turn", "tree", "front", "doc_id", "n"), "cut-regions")
+    for (at,) in sorted(left.select("turn").distinct().collect()):  # the trees and one more at most
+        known = left.where(F.col("turn") == at).join(found, left["doc_id"] == found["id"], "left")
+        known = materialize(known.select("tree", "front", "doc_id", "n", F.coalesce("component", "doc_id").alias("component")), "cut-labels")
+        mixed = known.groupBy("tree", "front").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("tree", "front")
+        unlike = known.join(F.broadcast(mixed), ["tree", "front"])
+        rows = unlike.count()
+        if rows == 0:
+            continue
+        ranged = materialize(unlike.repartitionByRange(parts_for(rows, ROWS_PER_RANGE), "tree", "front", "component", "doc_id").withColumn("part", F.spark_partition_id()), "cut-ranges")
+        before = Window.partitionBy("part", "tree", "front").orderBy("component", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        blocks = materialize(ranged.withColumn("sub", F.floor((F.sum("n").over(before) - F.col("n")) / INDEX_ITEMS)).withColumn("block", F.struct("part", "sub")), "blocks")
+        each = materialize(blocks.groupBy("tree", "front", "block").agg(F.min("component").alias("least"), F.max("component").alias("most")), "block-list")
+        a, b = each.alias("a"), each.alias("b")
+        pairs = a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.front") == F.col("b.front")) & (F.col("a.block") <= F.col("b.block"))
+                       & ((F.least("a.least", "b.least") != F.greatest("a.most", "b.most"))))
+        pairs = materialize(pairs.select("a.tree", "a.front", F.col("a.block").alias("x"), F.col("b.block").alias("y"), F.monotonically_increasing_id().alias("pair")), "block-pairs")
+        sides = pairs.select("tree", "front", "pair", F.posexplode(F.array("x", "y")).alias("side", "block"))
+        places_of = blocks.join(F.broadcast(sides), ["tree", "front", "block"]).groupBy("doc_id").agg(F.collect_list(F.struct("pair", "side", "component")).alias("places"))
+        sets = _with_sets(texts.join(places_of, "doc_id"), k)
+        placed = sets.select("doc_id", F.explode("places").alias("p"), "items").select("p.*", "doc_id", "items").repartition(max(1, pairs.count()), "pair").sortWithinPartitions("pair", "side", "component", "doc_id")
+        more = materialize(_block_links(placed, percent), "block-links")
+        if more.limit(1).count():
+            links = links.union(more)
+            found = components(links)
+    return found
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every id in ``links`` (a, b): the smallest id reachable. ``links`` is read many times.
 
@@ -202,19 +319,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     """doc_id, n_shingles, component_id, kept."""
     rows = narrow(docs, id_col, text_col)
     marked = materialize(_signatures(rows, k), "signatures")
-    classes = materialize(marked.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("signature").alias("signature")), "classes")
+    classes = materialize(marked.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("signature").alias("signature"), F.max("n_shingles").alias("n")), "classes")
     # trees: the signature read from another place, around its end
     twice = F.concat("signature", "signature")
     trees = F.array(*[F.substring(twice, 4 * VALUES_PER_TREE * t + 1, 4 * DEPTH) for t in range(TREES)])
-    forest = classes.select("rep", F.posexplode(trees).alias("tree", "key")).withColumn("front", F.substring("key", 1, 4 * SHARED))
+    forest = classes.select("rep", "n", F.posexplode(trees).alias("tree", "key")).withColumn("front", F.substring("key", 1, 4 * SHARED))
     regions = forest.groupBy("tree", "front").count().where("count > 1").drop("count")
-    shared = materialize(forest.join(regions, ["tree", "front"]).select("tree", "key", F.col("rep").alias("doc_id")), "regions")
+    shared = materialize(forest.join(regions, ["tree", "front"]).select("tree", "key", F.col("rep").alias("doc_id"), "n"), "regions")
     parts = parts_for(shared.count(), ROWS_PER_RANGE)
     ordered = shared.repartitionByRange(parts, "tree", "key", "doc_id").withColumn("part", F.spark_partition_id())
-    places = materialize(ordered.groupBy("doc_id").agg(F.collect_list(F.struct("part", "tree", "key")).alias("places")), "places")  # one place a tree at most
-    sets = _with_sets(rows.dropDuplicates(["doc_id"]).join(places, "doc_id") if repeated_ids(marked) else rows.join(places, "doc_id"), k)
+    places = materialize(ordered.groupBy("doc_id").agg(F.collect_list(F.struct("part", "tree", "key")).alias("places"), F.max("n").alias("n")), "places")  # one place a tree at most
+    texts = rows.dropDuplicates(["doc_id"]) if repeated_ids(marked) else rows
+    sets = _with_sets(texts.join(places.select("doc_id", "places"), "doc_id"), k)
     placed = sets.select("doc_id", F.explode("places").alias("p"), "items").select("p.*", "doc_id", "items").repartition(parts, "part").sortWithinPartitions("part", "tree", "key", "doc_id")
-    found = components(materialize(_links(placed, percent), "pairs"))
+    found = _finish(texts, k, percent, places, materialize(_links(placed, percent), "pairs"))
     by_class = classes.join(found, classes["rep"] == found["id"], "left").select(F.col("digest").alias("class"), F.coalesce("component", "rep").alias("component"))
     out = marked.join(by_class, marked["digest"] == by_class["class"], "left")
     component = F.coalesce("component", "doc_id")

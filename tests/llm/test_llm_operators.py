@@ -126,6 +126,24 @@ def test_a_region_that_forgets_still_links_neighbours(monkeypatch):
     assert all(found and max(found) >= i - 8 for i, found in enumerate(links) if i) and len(region.docs) < 30
 
 
+@pytest.mark.parametrize("rows_per_range, index_items", [(20, 2_000), (20, 1_000_000), (4_000, 2_000)])
+def test_regions_beyond_a_range_and_the_index_are_finished(spark, monkeypatch, rows_per_range, index_items):
+    monkeypatch.setattr(near_dedup, "ROWS_PER_RANGE", rows_per_range)
+    monkeypatch.setattr(near_dedup, "INDEX_ITEMS", index_items)
+    rng = np.random.default_rng(9)
+    base = [f"w{k}" for k in range(200)]
+    texts = []
+    for _ in range(300):  # each is like the base only, and no two of them are alike
+        copy = list(base)
+        for at in rng.choice(np.arange(5, 195, 5), 5, replace=False):
+            copy[at] = f"x{rng.integers(0, 10**9)}"
+        texts.append(" ".join(copy))
+    texts = dict(enumerate([*texts, " ".join(base)]))
+    want = brute_components(texts, 3, 85)
+    got = by_id(near_dedup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 85))
+    assert {i: r["component_id"] for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 501)], "a long, b long")
     got = {r["id"]: r["component"] for r in near_dedup.components(links).collect()}
