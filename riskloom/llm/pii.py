@@ -1,10 +1,11 @@
 """Personal data by candidate gradient boosting, in DataFrame and SQL functions only.
 
 Wide generators propose overlapping spans (anything around an at sign, runs of digits, dotted numbers, spelled-out addresses); the rules of four
-kinds (e-mail, IP address, card, phone) propose theirs. Every candidate gets features of its format and its context. Boosted trees learn, on a
-bounded sample of candidates, which of them are personal data; what the rules accept is the teacher, and the trees see format and
-context only. A threshold per kind is set on candidates kept from the trees, at the wanted precision. Selected are all spans that the rules accept, and
-candidates of the wide generators that lie apart from them and reach their threshold.
+kinds (e-mail, IP address, card, phone) propose theirs. Every candidate gets features of its format and its context. Boosted trees learn which of them are
+personal data. Their teacher are the rules' values rewritten into formats that only the wide generators propose (``_rewritten``): accepted values are
+positives, refused ones negatives, in their own contexts; what the wide generators find has no label itself. The trees are fitted on a bounded sample, and a threshold per
+kind is set on all rewritten values kept from them, at the wanted precision. Selected are all spans that the rules accept, and candidates of the wide
+generators that lie apart from them and reach their threshold. Addresses with other separators than dots are not rewritten, so none are added.
 
 Positions are code points, the end exclusive. Pieces between matches give the places of matches, in one window per text.
 
@@ -119,13 +120,31 @@ def with_features(found: DataFrame) -> DataFrame:
 
 
 def _teach(found: DataFrame) -> DataFrame:
-    """Adds ok (the rule accepts it), touches (it overlaps an accepted span) and label."""
+    """Adds ok (the rule accepts it) and touches (it overlaps an accepted span)."""
     found = found.withColumn("ok", F.col("rule") & accepted(F.col("kind"), F.col("value")))
     row = Window.partitionBy("row")
     earlier = F.max(F.when(F.col("ok"), F.col("end"))).over(row.orderBy("start").rangeBetween(Window.unboundedPreceding, 0))
     later = F.min(F.when(F.col("ok"), F.col("start"))).over(row.orderBy("start").rangeBetween(0, Window.unboundedFollowing))
     touches = F.coalesce(earlier > F.col("start"), F.lit(False)) | F.coalesce(later < F.col("end"), F.lit(False))
-    return found.withColumn("touches", touches).withColumn("label", F.when(F.col("rule"), F.col("ok")).otherwise(F.col("touches")).cast("double"))
+    return found.withColumn("touches", touches)
+
+
+def _rewritten(found: DataFrame) -> DataFrame:
+    """Adds made and label: each candidate without label, and the rules' values in formats of the wide generators with one."""
+    v, ok = F.col("value"), F.col("ok").cast("double")
+    one = lambda kind, value, label: F.when(F.col("rule") & (F.col("kind") == kind), F.struct(value.alias("value"), label.alias("label"), F.lit(True).alias("made")))
+    no, yes = F.lit(0.0), F.lit(1.0)
+    forms = F.array(
+        one("email", F.regexp_replace(v, r"^(.*)@(?:.*\.)?([^.@]+)\.([^.@]+)$", "$1 at $2 dot $3"), yes), one("email", F.regexp_replace(v, "@", "é@"), yes),
+        one("email", F.regexp_extract(v, r"^[^@]+@[^.@]+", 0), no),
+        one("card", F.regexp_replace(_digits(v), "(.{4})(?=.)", "$1."), ok), one("card", F.regexp_replace(_digits(v), "(.{4})(?=.)", "$1/"), ok),
+        one("phone", F.concat(F.lit("00"), F.substring(v, 2, 1 << 30)), ok), one("phone", F.regexp_extract(v, r"\(.*", 0), ok))
+    wide = F.lit(False)
+    for kind, pattern in [*WIDE.items(), ("email", SPELLED)]:
+        wide = wide | ((F.col("kind") == kind) & F.col("v.value").rlike(rf"\A(?:{pattern})\z"))
+    itself = F.array(F.struct(v.alias("value"), F.lit(None).cast("double").alias("label"), F.lit(False).alias("made")))
+    each = found.withColumn("v", F.explode(F.concat(itself, F.array_compact(forms)))).where(~F.col("v.made") | wide)
+    return each.withColumns({n: F.col(f"v.{n}") for n in ("value", "label", "made")}).drop("v")
 
 
 def _thresholds(scored: DataFrame) -> dict[str, float]:
@@ -146,9 +165,10 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """doc_id, and spans: array of (kind, start, end, base), by kind as listed, then start."""
     rows = docs.select(c(id_col).alias("doc_id"), F.coalesce(c(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("row", F.xxhash64("doc_id", "text"))
-    found = materialize(with_features(_teach(candidates(rows))).drop("before", "after", "value"), "pii-candidates")
-    order = F.xxhash64("row", "kind", "start", "end", "rule")
-    sample = materialize(found.withColumn("h", order).orderBy("h", "row", "start", "end", "kind", "rule").limit(sample_rows), "pii-sample")
+    order = F.xxhash64("row", "kind", "start", "end", "rule", "value")
+    found = materialize(with_features(_rewritten(_teach(candidates(rows)))).withColumn("h", order).drop("before", "after", "value"), "pii-candidates")
+    taught, found = found.where("made"), found.where("NOT made")
+    sample = materialize(taught.orderBy("h", "row", "start", "end", "kind", "rule").limit(sample_rows), "pii-sample")
     held = F.pmod("h", F.lit(5)) == 0
     n, good = sample.where(~held).agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     keep = F.col("ok")
@@ -156,7 +176,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
         model = GBTClassifier(maxIter=15, maxDepth=4, stepSize=0.2, seed=7).fit(assemble.transform(sample.where(~held)).select("features", "label"))
         score = lambda df: model.transform(assemble.transform(df)).withColumn("p", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction")
-        limits = _thresholds(score(sample.where(held)))
+        last = sample.agg(F.max("h")).first()[0]
+        limits = _thresholds(score(taught.where(held | (F.col("h") > last))))
         if limits:
             found = score(found)
             least = F.coalesce(*[F.when(F.col("kind") == k, F.lit(t)) for k, t in limits.items()], F.lit(2.0))

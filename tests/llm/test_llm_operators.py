@@ -363,6 +363,17 @@ def test_personal_data_of_odd_rows(spark, odd):
     assert [[(s["start"], s["end"]) for s in r["spans"]] for r in pii.find_personal_data(twice).collect()] == [[(2, 10), (13, 21)]] * 2
 
 
+def test_obfuscated_personal_data_is_added(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    values = ["jane.roe at example dot org", "4111.1111.1111.1111", "0049 30 5550 1234", "(499) 555-6503 12"]
+    planted = [(10**6 + i, f"you can reach them by {v} or not") for i, v in enumerate(values)]
+    refused = [(10**6 + 10, "you can reach them by 4111.1111.1111.1112 or not"), (10**6 + 11, "write to someone@nowhere or not")]
+    got = by_id(pii.find_personal_data(docs.union(spark.createDataFrame(planted + refused, docs.schema))))
+    added = {i: {t[s["start"]:s["end"]] for s in got[i]["spans"]} for i, t in planted + refused}
+    assert all(v in added[10**6 + i] for i, v in enumerate(values[:3])), added
+    assert not any(s["kind"] == "card" for s in got[10**6 + 10]["spans"]) and not got[10**6 + 11]["spans"], added
+
+
 def test_personal_data_stays_in_the_jvm(spark):
     plan = pii.personal_data_digest(spark.read.parquet(f"{TINY}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
