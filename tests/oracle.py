@@ -48,8 +48,9 @@ def compare(spark, con, fn, sql: str, sf_dir: str) -> str | None:
     mine = _sorted(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
+    ints = {f.name for f in df.schema.fields if f.dataType.simpleString() == "int"}
     odd = [(d[0], str(d[1])) for d in cur.description if any(k in str(d[1]).upper() for k in ("HUGEINT", "DECIMAL", "TIMESTAMP", "NUMBER", "INT32", "INTEGER"))
-           and str(d[1]).upper() not in ("BIGINT", "DOUBLE")]
+           and str(d[1]).upper() not in ("BIGINT", "DOUBLE") and not (d[0] in ints and str(d[1]).upper() in ("INTEGER", "INT32"))]
     other = _sorted(names, cur.fetchall())
     if odd:
         return f"check SQL types {odd}"
