@@ -85,6 +85,29 @@ def running_total(df: DataFrame, order: list[Column], values: list[str], parts:
     return joined.withColumns({f"{v}_total": F.col(f"__{v}") + F.sum(v).over(within) for v in values}).drop("__part", *[f"__{v}" for v in values])
 
 
+def running_by_key(df: DataFrame, key: str, order: list[Column], values: list[str], parts: int, name: str, xor: bool = False) -> DataFrame:
+    """Adds ``<value>_upto``: the sum (or exclusive or) over the key's rows up to and with this one; rows with equal order stand in any order.
+
+    Rows are range-partitioned by key and order and written with their range number. A key that reaches over several ranges gets its totals
+    of the ranges before: they come from the first and the last key of each range alone, so no task sees more than one range whatever a key holds.
+    """
+    total = F.bit_xor if xor else F.sum
+    ranged = materialize(df.repartitionByRange(parts, c(key), *order).withColumn("__part", F.spark_partition_id()), name)
+    ends = ranged.groupBy("__part").agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))  # one row per range
+    at_ends = ranged.join(F.broadcast(ends), "__part").where((c(key) == F.col("__lo")) | (c(key) == F.col("__hi")))
+    sums = at_ends.groupBy("__part", c(key).alias("__key")).agg(*[total(v).alias(f"__{v}") for v in values])  # two rows per range at most
+    before = Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(F.col("__part").alias("__p"), "__key", *[F.coalesce(total(f"__{v}").over(before), F.lit(0)).alias(f"__{v}") for v in values])
+    within = Window.partitionBy("__part", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = ranged.join(F.broadcast(carried), (F.col("__part") == F.col("__p")) & (c(key) == F.col("__key")), "left")
+
+    def upto(v: str) -> Column:
+        inside, carry = total(v).over(within), F.coalesce(F.col(f"__{v}"), F.lit(0))
+        return inside.bitwiseXOR(carry) if xor else inside + carry
+
+    return joined.select(*[c(n) for n in df.columns], *[upto(v).alias(f"{v}_upto") for v in values])
+
+
 # ---- words and their hashes in numpy -------------------------------------------------------------------------------------------------
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))

@@ -13,12 +13,16 @@ from riskloom.llm.classifier import classify, fit_classifier
 from riskloom.llm.common import documents, labels
 from riskloom.llm.context_mixing import score_texts
 from riskloom.llm.exact_dedup import exact_duplicates
+from riskloom.llm.hard_negatives import hard_negatives, whole_vectors
 from riskloom.llm.licenses import BASE_PHRASES, MIN_COVER, NEIGHBOURS, PASSAGES, scan_licenses
 from riskloom.llm.mixing import mix_sources
 from riskloom.llm.near_dedup import near_duplicates
 from riskloom.llm.pii import personal_data_digest
+from riskloom.llm.prefix_trie import numbered_turns, prefix_trie, shared_openings, trie_digest
 from riskloom.llm.quality_rules import apply_rules, fit_quality
+from riskloom.llm.secrets import scan_history, secret_digest
 from riskloom.llm.toxicity import fit_toxicity, score_toxicity
+from riskloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -130,3 +134,50 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# crc32, bit by bit
+_CRC = "xor(list_reduce(list_transform(string_split({}, ''), lambda ch: CAST(ascii(ch) AS BIGINT)), lambda acc, b: list_reduce(range(8), lambda x, i: xor(x // 2, 3988292384 * (x % 2)), xor(acc, b)), 4294967295), 4294967295)"
+
+
+@_query(rf"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place,
+      md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS words
+      FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, max(place) AS own, conv_id - conv_id % 20 AS first, {_CRC.format("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, t.place, t.digest, t.words FROM c JOIN t ON t.conv_id = c.first AND t.place <= c.h
+      UNION ALL SELECT c.conv_id, t.place - c.h + least(c.h, coalesce(b.own, 0)), t.digest, t.words FROM c JOIN t ON t.conv_id = c.conv_id AND t.place > c.h LEFT JOIN c b ON b.conv_id = c.first),
+s AS (SELECT c.conv_id, coalesce(list(digest ORDER BY place) FILTER (digest IS NOT NULL), []) AS d, coalesce(list(words ORDER BY place) FILTER (digest IS NOT NULL), []) AS w FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id),
+p AS (SELECT conv_id, len(d) AS length, unnest(range(0, len(d) + 1)) AS depth, d, w FROM s),
+k AS (SELECT conv_id, length, depth, array_to_string(d[1:depth], ',') AS node, CASE WHEN depth > 0 THEN array_to_string(d[1:depth - 1], ',') END AS up, CASE WHEN depth > 0 THEN w[depth] ELSE 0 END AS words, d FROM p),
+n AS (SELECT depth, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, any_value(d) AS d,
+      string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (length = depth) AS ends FROM k GROUP BY depth, node),
+q AS (SELECT up, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(q.n_children, 0) AS n_children FROM n LEFT JOIN q ON q.up = n.node AND q.depth = n.depth),
+a AS (SELECT array_to_string(d[1:x], ',') AS node, x AS depth, n_children = 0 AS leaf, (n_convs - 1) * words AS saved FROM (SELECT *, unnest(range(0, depth + 1)) AS x FROM m)),
+u AS (SELECT node, depth, count(*) FILTER (leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM a GROUP BY ALL)
+SELECT m.conv_id, m.depth, z.conv_id AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves, u.saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN u ON u.node = m.node AND u.depth = m.depth LEFT JOIN m z ON z.node = m.up AND z.depth = m.depth - 1""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = shared_openings(numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+    return trie_digest(prefix_trie(turns, convs))
+
+
+@_query()
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digest(scan_history(documents(spark, sf_dir), scratch_path(spark, "secret-ledger"), path_col="doc_id", version_col=None))
+
+
+@_query(r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(whole_vectors(table, label=moved), F.col("vec_id") % 100 == 0)
