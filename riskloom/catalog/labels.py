@@ -108,16 +108,45 @@ def label_sink(spark, sf_dir):
     return rounded(spark.read.parquet(one).join(base, "CustomerId"))
 
 
-@query()
+# k-means again, step by step: state is one row per start with its list of centres; a start that rests is no longer carried on
+_D = "((x - m.x) * (x - m.x) + (y - m.y) * (y - m.y) + (z - m.z) * (z - m.z))"
+_NEW = ", ".join("CASE WHEN n{0} > 0 THEN {{'x': sx{0} / n{0}, 'y': sy{0} / n{0}, 'z': sz{0} / n{0}}} ELSE c[{1}] END".format(j, j + 1) for j in range(3))
+_SUMS = ", ".join(f"CAST(count(*) FILTER (j = {j + 1}) AS DOUBLE) AS n{j}, " + ", ".join(f"CAST(sum({v}) FILTER (j = {j + 1}) AS DOUBLE) AS s{v}{j}" for v in "xyz") for j in range(3))
+_SHIFT = " + ".join(f"((c[{j}].{v} - e[{j}].{v}) / 1000000) * ((c[{j}].{v} - e[{j}].{v}) / 1000000)" for j in (1, 2, 3) for v in "xyz")
+_CLUSTERS = f"""WITH RECURSIVE {TXN_ORDERS}, r0 AS (SELECT CustomerId, CAST(floor((max(epoch_us(max(ts))) OVER () - epoch_us(max(ts))) / {_DAY}) AS BIGINT) AS Recency, count(ts) AS Frequency, sum(Amount) AS Monetary FROM txn GROUP BY CustomerId),
+st AS (SELECT avg(Recency) AS rm, stddev_pop(Recency) AS rs, avg(Frequency) AS fm, stddev_pop(Frequency) AS fs, avg(Monetary) AS mm, stddev_pop(Monetary) AS ms FROM r0),
+pt AS (SELECT r0.*, CAST(round((Recency - rm) / rs * 1000000) AS BIGINT) AS x, CAST(round((Frequency - fm) / fs * 1000000) AS BIGINT) AS y, CAST(round((Monetary - mm) / ms * 1000000) AS BIGINT) AS z FROM r0, st),
+h AS (SELECT s, x, y, z, min(md5((42 + s) || '|' || CustomerId)) AS h FROM pt, range(10) AS q(s) GROUP BY ALL),
+f AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY s ORDER BY h) <= 3),
+it(i, s, c, moving) AS (
+  SELECT 0, s, list({{'x': CAST(x AS DOUBLE), 'y': CAST(y AS DOUBLE), 'z': CAST(z AS DOUBLE)}} ORDER BY h), true FROM f GROUP BY s
+  UNION ALL
+  SELECT i, s, e, NOT ({_SHIFT} <= 0.0001) FROM (
+    SELECT i + 1 AS i, s, c, [{_NEW}] AS e FROM (
+      SELECT i, s, any_value(c) AS c, {_SUMS} FROM (
+        SELECT i, s, c, x, y, z, list_position(d, list_min(d)) AS j FROM (
+          SELECT it.i, it.s, it.c, pt.x, pt.y, pt.z, list_transform(it.c, lambda m: {_D}) AS d FROM it, pt WHERE it.moving AND it.i < 300)) GROUP BY i, s))),
+fin AS (SELECT s, arg_max(c, i) AS c FROM it GROUP BY s),
+best AS (SELECT c FROM (SELECT s, any_value(c) AS c, sum(CAST(list_min(list_transform(c, lambda m: {_D})) / 1000000 AS DECIMAL(28, 0))) AS cost FROM fin, pt GROUP BY s) ORDER BY cost, s LIMIT 1),
+m0 AS (SELECT unnest(c) AS m FROM best),
+ctr AS (SELECT m, m.x / 1000000 * rs + rm AS Recency, m.y / 1000000 * fs + fm AS Frequency, m.z / 1000000 * ms + mm AS Monetary FROM m0, st),
+ord AS (SELECT *, row_number() OVER (ORDER BY Recency, Frequency, Monetary) - 1 AS cluster,
+  CAST(rank() OVER (ORDER BY Recency) + rank() OVER (ORDER BY Frequency DESC) + rank() OVER (ORDER BY Monetary DESC) AS DOUBLE) AS risk_score FROM ctr),
+risky AS (SELECT cluster FROM ord ORDER BY risk_score DESC, cluster LIMIT 1),
+lst AS (SELECT list(m ORDER BY cluster) AS c FROM ord)"""
+
+
+@query(f"""{_CLUSTERS}, lab AS (SELECT pt.*, list_position(d, list_min(d)) - 1 AS cluster FROM (SELECT pt.*, list_transform(lst.c, lambda m: {_D}) AS d FROM pt, lst) AS pt)
+SELECT CustomerId, Recency, Frequency, round(Monetary + 1e-9, 2) + 0.0 AS Monetary, CAST(cluster AS BIGINT) AS cluster, CAST(cluster = (SELECT cluster FROM risky) AS BIGINT) AS is_high_risk FROM lab""")
 def high_risk_label(spark, sf_dir):
     """RFM clusters by k-means and the proxy risk label."""
-    return proxy_label(txn_orders(spark, sf_dir)).labels
+    return rounded(proxy_label(txn_orders(spark, sf_dir)).labels, Monetary=2)
 
 
-@query()
+@query(f"""{_CLUSTERS} SELECT round(Recency + 1e-9, 4) + 0.0 AS Recency, round(Frequency + 1e-9, 4) + 0.0 AS Frequency, round(Monetary + 1e-9, 2) + 0.0 AS Monetary, CAST(cluster AS BIGINT) AS cluster, risk_score FROM ord""")
 def cluster_centers(spark, sf_dir):
     """k-means centres in original units with their risk score."""
-    return proxy_label(txn_orders(spark, sf_dir)).centers()
+    return rounded(proxy_label(txn_orders(spark, sf_dir)).centers(), Monetary=2)
 
 
 @query("SELECT count(DISTINCT o_custkey) AS customers, CAST(3 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced, CAST(1 AS BIGINT) AS risky_clusters, CAST(0 AS BIGINT) AS drifted FROM orders")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.base import query, rounded
-from riskloom.catalog.evaluation import CUSTOMERS, INTERCEPT, WEIGHTS, _training_table, customers
+from riskloom.catalog.base import TXN_ORDERS, query, rounded
+from riskloom.catalog.evaluation import CUSTOMERS, INTERCEPT, NEWTON, WEIGHTS, customers, logistic_of_customers
 from riskloom.operators import score as S
+from riskloom.operators.rfm import rfm
 from riskloom.plans import training as T
-from riskloom.session import scratch_path
+from riskloom.session import materialize, scratch_path
 from riskloom.sources.artifacts import load_model, save_model
 from riskloom.sources.tables import numeric_features, read_requests, read_table, write_table
+from riskloom.sources.transactions import txn_orders
 from riskloom.streaming.scoring import read_request_stream, score_stream as stream_scores, start_scoring
 
 SCORER = S.LinearScorer(WEIGHTS, INTERCEPT, "closed-form")
@@ -124,11 +126,70 @@ def score_stream(spark, sf_dir):
     return _core(spark.read.parquet(target))
 
 
-@query()
+def _reloaded(spark, model, name):
+    """The model saved, read back and compiled."""
+    path = save_model(spark, model.model, model.features, scratch_path(spark, "model"), name)
+    return load_model(spark, path).compiled(spark)
+
+
+_FITTED = """SELECT CAST(CustomerId AS VARCHAR) AS customer_id, round({p} + 1e-9, {digits}) + 0.0 AS probability, CAST({p} >= 0.5 AS BIGINT) AS predicted_class,
+  CASE WHEN {p} < 0.33 THEN 'LOW' WHEN {p} < 0.66 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_category FROM {rows}"""
+
+
+def _fitted_scores(df, digits):
+    return rounded(df.select("customer_id", "probability", "predicted_class", "risk_category"), digits)
+
+
+_NEWTON_P = f"WITH RECURSIVE {NEWTON}, pp AS (SELECT CustomerId, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM xs, fit) " + _FITTED.format(p="p", rows="pp", digits=3)
+
+
+@query(_NEWTON_P)
 def model_reload_score(spark, sf_dir):
-    """A trained pipeline saved, reloaded and applied to every customer."""
-    data = _training_table(spark, sf_dir)
-    model = T.train_all(data, grids={"logistic": {"C": [1]}})[0]
-    path = save_model(spark, model.model, model.features, scratch_path(spark, "model"), "logistic")
-    wide = data.drop("is_high_risk").withColumn("customer_id", F.col("CustomerId").cast("string")).drop("CustomerId")
-    return S.score_wide(wide, load_model(spark, path)).drop("timestamp", "extra_features", "model")
+    """A fitted logistic pipeline saved, reloaded, compiled and applied to every customer."""
+    table, _, model, _ = logistic_of_customers(spark, sf_dir)
+    path = save_model(spark, model, ["Frequency", "Amount_mean"], scratch_path(spark, "model"), "logistic")
+    scorer = load_model(spark, path).compiled(spark)
+    return _fitted_scores(S.score_wide(table.drop("is_high_risk").withColumnRenamed("CustomerId", "customer_id"), scorer), 3)
+
+
+@query(_NEWTON_P)
+def model_stream_score(spark, sf_dir):
+    """The same fitted model over a stream of JSON records."""
+    table, _, model, _ = logistic_of_customers(spark, sf_dir)
+    scorer = load_model(spark, save_model(spark, model, ["Frequency", "Amount_mean"], scratch_path(spark, "model"), "logistic")).compiled(spark)
+    entries = F.map_from_arrays(F.array(F.lit("Frequency"), F.lit("Amount_mean")), F.array(F.col("Frequency").cast("string"), F.col("Amount_mean").cast("string")))
+    source = write_table(table.select(F.col("CustomerId").cast("string").alias("customer_id"), entries.alias("features")), scratch_path(spark, "stream-in") + ".json")
+    target, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
+    start_scoring(stream_scores(read_request_stream(spark, source), scorer), target, state).awaitTermination()
+    return _fitted_scores(spark.read.parquet(target), 3)
+
+
+def _ruled(spark, sf_dir):
+    """Customers whose label follows from two features of few values, so that trees can learn it without error."""
+    txn = txn_orders(spark, sf_dir)
+    table = rfm(txn).select("CustomerId", F.least("Frequency", F.lit(20)).alias("Orders"), F.least(F.floor(F.col("Recency") / 100), F.lit(15)).alias("Hundreds"))
+    return materialize(table.withColumn("is_high_risk", ((F.col("Orders") > 9) & (F.col("Hundreds") <= 1)).cast("int")), "ruled")
+
+
+_RULED = f"""{TXN_ORDERS}, c AS (SELECT CustomerId, least(count(ts), 20) AS orders, least(floor((max(epoch_us(max(ts))) OVER () - epoch_us(max(ts))) / 86400000000 / 100), 15) AS hundreds FROM txn GROUP BY CustomerId),
+y AS (SELECT CustomerId, orders > 9 AND hundreds <= 1 AS y FROM c)"""
+
+
+@query(f"WITH {_RULED}, pp AS (SELECT CustomerId, CASE WHEN y THEN 1.0 ELSE 0.0 END AS p FROM y) " + _FITTED.format(p="p", rows="pp", digits=6))
+def forest_reload_score(spark, sf_dir):
+    """A forest of one full tree on a label that it can learn without error, saved, reloaded and compiled."""
+    table = _ruled(spark, sf_dir)
+    (model,) = T.train_all(table, grids={"random_forest": {"trees": [1], "depth": [None]}})
+    return _fitted_scores(S.score_wide(table.drop("is_high_risk").withColumnRenamed("CustomerId", "customer_id"), _reloaded(spark, model, "forest")), 6)
+
+
+# each tree splits the classes without error, so every customer of a class has the same margin after each step
+_MARGIN = "bo(t, f) AS (SELECT 1, 1::DOUBLE UNION ALL SELECT t + 1, f + 0.1 * 4 / (1 + exp(2 * f)) FROM bo WHERE t < 20)"
+
+
+@query(f"WITH RECURSIVE {_RULED}, {_MARGIN}, pp AS (SELECT CustomerId, CASE WHEN y THEN 1 / (1 + exp(-2 * f)) ELSE 1 / (1 + exp(2 * f)) END AS p FROM y, bo WHERE t = 20) " + _FITTED.format(p="p", rows="pp", digits=6))
+def boosting_reload_score(spark, sf_dir):
+    """Twenty boosted trees on the same label, saved, reloaded and compiled."""
+    table = _ruled(spark, sf_dir)
+    (model,) = T.train_all(table, grids={"gradient_boosting": {"rate": [0.1], "trees": [20]}})
+    return _fitted_scores(S.score_wide(table.drop("is_high_risk").withColumnRenamed("CustomerId", "customer_id"), _reloaded(spark, model, "boosting")), 6)

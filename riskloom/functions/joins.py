@@ -14,7 +14,8 @@ MAX_BROADCAST_ROWS = 500_000  # narrow dimension rows sent to every executor
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 0.005  # a key above this share of the rows is spread out
 SALTS = 64
-SAMPLE_ROWS = 100_000
+SKETCH_KEYS = 200  # as many keys can hold HOT_SHARE of the rows each
+SKETCH_ITEMS = 10_000  # keys a sketch follows: it misses none above HOT_SHARE
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -25,24 +26,30 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes:
 
 
 def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys with a large share of the rows, estimated on a sample (fewer than 1 / share of them).
+    """Keys that may hold a large share of the rows (None among them), from one pass with a frequent-item sketch that partitions merge.
 
-    The list only decides which keys are spread over several tasks; every row
-    is joined whatever it says.
+    The list only decides which keys are spread over several tasks; every row is joined whatever it says.
     """
-    n = df.count()
-    rows = df.select(F.col(f"`{key}`").alias("k")).where(F.col("k").isNotNull())
-    sample = rows.sample(fraction=min(1.0, SAMPLE_ROWS / max(n, 1)), seed=11)
-    counts = sample.groupBy("k").agg(F.count("*").alias("n"))
-    least = max(2.0, HOT_SHARE * min(n, SAMPLE_ROWS))
-    return [r["k"] for r in counts.where(F.col("n") > least).collect()]
+    k = F.col(f"`{key}`")
+    top = F.expr(f"approx_top_k(`{key}`, {SKETCH_KEYS}, {SKETCH_ITEMS})")
+    n, nulls, found = df.agg(F.count("*"), F.count_if(k.isNull()), top).first()  # SKETCH_KEYS keys at most
+    least = max(2.0, HOT_SHARE * n)
+    return [r["item"] for r in found or [] if r["item"] is not None and r["count"] > least] + [None] * (nulls > least)
+
+
+def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
+    """A number below ``salts`` by the contents of the row and its partition.
+
+    Not a random number: a task that runs again must send its rows to the same place, in whatever order they come. The partition spreads copies of one row.
+    """
+    return F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in df.columns], F.spark_partition_id()), F.lit(salts)).cast("int")
 
 
 def skew_safe_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
                    broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join many rows with a table that is unique on its key.
 
-    A right side measured small is broadcast. Otherwise rows of hot keys get a
+    A right side measured small is broadcast, and the left side is read by the join alone. Otherwise one pass over the left key finds the hot keys; their rows get a
     salt and the few right rows they need are repeated per salt; all other keys join by plain shuffle, whose partitioning later group-bys reuse.
     """
     lk, rk = F.col(f"`{left_key}`"), F.col(f"`{right_key}`")
@@ -51,12 +58,10 @@ def skew_safe_join(left: DataFrame, right: DataFrame, left_key: str, right_key:
     hot = hot_keys(left, left_key)
     if not hot:
         return left.join(right, lk == rk, how)
-    # a hash of the row, not a random number: a task that runs again must send its rows to the same place
+    named = [k for k in hot if k is not None]
     # null keys match nothing, so they may go anywhere: spread them too
-    spread = F.when(lk.isin(hot) | lk.isNull(), F.pmod(F.xxhash64(*[F.col(f"`{n}`") for n in left.columns]), F.lit(SALTS))).otherwise(0).cast("int")
-    copies = F.when(rk.isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted = left.withColumn("__salt", spread)
-    repeated = right.withColumn("__copy", F.explode(copies))
+    salted = left.withColumn("__salt", F.when(lk.isin(named) | lk.isNull(), row_salt(left)).otherwise(0))
+    repeated = right.withColumn("__copy", F.explode(F.when(rk.isin(named), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
     return salted.join(repeated, (lk == rk) & (F.col("__salt") == F.col("__copy")), how).drop("__salt", "__copy")
 
 

@@ -245,6 +245,28 @@ def running_totals(df: DataFrame, order_col: str, sums: dict[str, str], ascendin
     return running.select(*[c(n) for n in df.columns], *[(c(new) + F.col(f"__o_{new}")).alias(new) for new in sums])
 
 
+def grouped_running_totals(df: DataFrame, groups: list[str], order_col: str, sums: dict[str, str], ascending: bool = True,
+                           rows_per_split: int = 200_000) -> DataFrame:
+    """``running_totals`` within each group, all groups in one pass; (groups, ``order_col``) must be unique.
+
+    The same split points of ``order_col`` cut every group, so no task sees more than one part of one group.
+    """
+    n_rows, df = df.count(), materialize(df, "grouped-totals")
+    points = split_points(df, order_col, n_rows, rows_per_split)
+    tagged = df.withColumn("__part", split_index(c(order_col), points))
+    by = [c(g) for g in groups]
+    direction = c(order_col) if ascending else c(order_col).desc()
+    inside = Window.partitionBy(*by, "__part").orderBy(direction).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = tagged.select("*", *[F.sum(c(src)).over(inside).alias(new) for new, src in sums.items()])
+    if not points:
+        return running.drop("__part")
+    sizes = tagged.groupBy(*by, "__part").agg(*[F.sum(c(src)).alias(f"__{new}") for new, src in sums.items()])
+    before = Window.partitionBy(*by).orderBy(F.col("__part") if ascending else F.col("__part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*by, "__part", *[F.coalesce(F.sum(f"__{new}").over(before), F.lit(0)).alias(f"__{new}") for new in sums])
+    joined = running.join(offsets, [*groups, "__part"])
+    return joined.select(*[c(n) for n in df.columns], *[(c(new) + F.col(f"__{new}")).alias(new) for new in sums])
+
+
 def dense_codes(df: DataFrame, name: str, rows_per_split: int = 200_000) -> DataFrame:
     """``value, code``: 0-based position of each distinct non-null value in sorted order."""
     distinct = df.select(c(name).alias("value")).where(F.col("value").isNotNull()).distinct().withColumn("one", F.lit(1))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import c
-from riskloom.functions.order_stats import running_totals
+from riskloom.functions.order_stats import grouped_running_totals, running_totals
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -71,6 +71,16 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", rows_per_
     return table.agg(F.try_divide(F.sum(won), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
 
 
+def grouped_auc(df: DataFrame, groups: list[str], label: str = "label", score: str = "score", rows_per_split: int = 200_000) -> DataFrame:
+    """``groups..., roc_auc``: the exact area of every group, in one pass over all groups."""
+    y = c(label).cast("int")
+    counts = (df.where(c(score).isNotNull() & y.isNotNull()).groupBy(*[c(g) for g in groups], c(score).cast("double").alias("score"))
+              .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
+    table = grouped_running_totals(counts, groups, "score", {"tp": "pos"}, ascending=False, rows_per_split=rows_per_split)
+    won = F.col("neg") * (F.col("tp") - F.col("pos") / 2)
+    return table.groupBy(*[c(g) for g in groups]).agg(F.try_divide(F.sum(won), F.sum("pos").cast("double") * F.sum("neg")).alias("roc_auc"))
+
+
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score") -> DataFrame:
     """The five metrics in one row."""
     auc = roc_auc(df, label, score).select("roc_auc").scalar()

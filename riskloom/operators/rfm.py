@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.columns import DEFAULT, TxnColumns
 from riskloom.functions.exprs import c, day_floor, elapsed_micros, nan_to_null
+from riskloom.operators import kmeans
 from riskloom.operators.aggregate import with_customer
 from riskloom.operators.normalize import population_moments, standardized
+from riskloom.session import materialize
 
 RFM = ("Recency", "Frequency", "Monetary")
 
@@ -42,7 +41,6 @@ class RfmClusters:
 
     labeled: DataFrame = field(repr=False)
     centers: list[dict]
-    model: KMeansModel = field(repr=False)
     cost: float
 
     def centers_frame(self, rule: str = "documented") -> DataFrame:
@@ -52,36 +50,28 @@ class RfmClusters:
         return spark.createDataFrame(rows, "Recency double, Frequency double, Monetary double, cluster int, risk_score double")
 
 
-def cluster_rfm(table: DataFrame, k: int = 3, seed: int = 42, starts: int = 10, scale: bool = True,
-                parallelism: int = 3) -> RfmClusters:
-    """k-means on standardised RFM; the cheapest of several starts wins.
+def cluster_rfm(table: DataFrame, k: int = 3, seed: int = 42, starts: int = 10, scale: bool = True, id_col: str = "CustomerId") -> RfmClusters:
+    """k-means on standardised RFM; the cheapest of several starts wins, and all starts advance in the same aggregates.
 
-    All starts run. Clusters are numbered by their centre (most recent first), not by chance of the start.
+    Clusters are numbered by their centre (most recent first), not by chance of the start. Customers with a missing value are left out.
     ``table`` is read many times: pass a materialised one.
     """
     n = table.count()
     if n < k:
         raise ValueError(f"{k} clusters need at least {k} customers, got {n}")
     stats = population_moments(table, {f: c(f).cast("double") for f in RFM}) if scale else {f: (0.0, 1.0) for f in RFM}
-    scaled = table.withColumns({f"__z{f}": standardized(c(f).cast("double"), *stats[f]) for f in RFM})
-    vectors = VectorAssembler(inputCols=[f"__z{f}" for f in RFM], outputCol="__v", handleInvalid="skip").transform(scaled).persist()
-    vectors.count()  # fill the cache before several starts read it
-
-    def start(i: int) -> tuple[float, int, KMeansModel]:
-        fitted = KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4, featuresCol="__v", predictionCol="__c").fit(vectors)
-        return fitted.summary.trainingCost, i, fitted
-
-    with ThreadPool(parallelism) as pool:  # threads submit jobs side by side
-        runs: list[tuple[float, int, KMeansModel]] = pool.map(start, range(starts))
-    vectors.unpersist()
-    cost, _, model = min(runs, key=lambda r: r[:2])
-    raw = [[z * (stats[f][1] or 1.0) + stats[f][0] for f, z in zip(RFM, center)] for center in model.clusterCenters()]
+    grid = {f"__z{f}": kmeans.grid_point(standardized(c(f).cast("double"), *stats[f])) for f in RFM}
+    points = table.dropna(subset=list(RFM)).withColumns(grid)
+    narrow = points.select(c(id_col), *grid)
+    if n <= kmeans.COMPILED_ROWS:  # few rows may come in one partition: every iteration would be one task
+        narrow = narrow.repartition(table.sparkSession.sparkContext.defaultParallelism, c(id_col))
+    narrow = materialize(narrow, "rfm-points")
+    found = kmeans.fit(narrow, list(grid), id_col, k, seed, starts)
+    raw = [[z / kmeans.GRID * (stats[f][1] or 1.0) + stats[f][0] for f, z in zip(RFM, center)] for center in found.centers]
     order = sorted(range(len(raw)), key=lambda i: raw[i])
-    renumber = F.create_map(*[F.lit(x) for new, old in enumerate(order) for x in (old, new)])
-    labeled = (model.transform(vectors).withColumn("cluster", F.element_at(renumber, F.col("__c")))
-               .select(*[c(n) for n in table.columns], "cluster"))
+    labeled = points.withColumn("cluster", kmeans.nearest([c(n) for n in grid], [found.centers[old] for old in order])).select(*[c(n) for n in table.columns], "cluster")
     centers = [dict(zip(RFM, raw[old]), cluster=new) for new, old in enumerate(order)]
-    return RfmClusters(labeled, centers, model, cost)
+    return RfmClusters(labeled, centers, found.cost)
 
 
 def _average_ranks(values: list[float], ascending: bool) -> list[float]:

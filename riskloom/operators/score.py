@@ -12,10 +12,11 @@ from typing import Protocol
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import c
+from riskloom.plans.compiled import CompiledScorer, compile_pipeline
 from riskloom.sources.tables import requests_from_wide
 
 # fixed values: advice per category
@@ -90,6 +91,10 @@ class PipelineScorer:
         return (out.withColumn("__p", vector_to_array("probability")[1])
                 .withColumn("__class", (F.col("__p") >= 0.5).cast("int")))
 
+    def compiled(self, spark: SparkSession) -> CompiledScorer:
+        """The same scores as plain column expressions."""
+        return compile_pipeline(spark, self.pipeline, self.features, self.name)
+
 
 @dataclass(frozen=True)
 class HardLabelScorer:

@@ -40,7 +40,7 @@ def proxy_label(
 ) -> ProxyLabel:
     """Label customers of the riskiest RFM cluster; one row per customer is kept for k-means."""
     table = materialize(rfm(txn, cols, snapshot, plus_days), "rfm")
-    clusters = cluster_rfm(table, k, seed, scale=scale)
+    clusters = cluster_rfm(table, k, seed, scale=scale, id_col=cols.id)
     labels = flag_high_risk(clusters.labeled, risky_cluster(clusters.centers, rule))
     joined = label_features(features, labels, cols.id) if features is not None else None
     return ProxyLabel(labels, joined, clusters, rule)

@@ -7,9 +7,9 @@ import uuid
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +18,17 @@ from pyspark.sql import types as T
 
 from riskloom.functions.exprs import c, numeric_columns
 from riskloom.functions.order_stats import exact_quantiles
-from riskloom.operators.metrics import evaluate, fingerprint
+from riskloom.operators.metrics import evaluate, fingerprint, grouped_auc
 from riskloom.operators.normalize import population_moments
 from riskloom.operators.split import model_split, stratified_folds
+from riskloom.plans.compiled import probability_of, with_components
+from riskloom.session import materialize
 from riskloom.sources.tables import write_table
 
 SEED = 42  # fixed value
 FOLDS = 5
+PARALLELISM = 10  # fits side by side, per kind of model
+ROWS_PER_PART = 50_000
 UNLIMITED_DEPTH = 30  # deepest tree the ml library allows
 # fixed values: search grids per model
 GRIDS: dict[str, dict[str, list]] = {
@@ -136,19 +140,25 @@ class TrainedModel:
     best_params: dict
     cv_scores: list[tuple[dict, float]]
     predictions: DataFrame = field(repr=False)
+    fold_scores: list[tuple[int, int, float]] = field(default_factory=list, repr=False)  # setting, fold, ROC-AUC
 
     def importances(self) -> DataFrame | None:
         """``feature, importance`` with expanded names, for tree models."""
         stage = self.model.stages[-1]
         if not hasattr(stage, "featureImportances"):
             return None
-        attrs = self.predictions.schema["features"].metadata["ml_attr"]["attrs"]
-        names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
         scores = stage.featureImportances.toArray()
-        rows = [(_plain_name(names[i]), float(scores[i])) for i in sorted(names)]
+        rows = [(name, float(x)) for name, x in zip(_vector_names(self.predictions), scores)]
         return self.predictions.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
+def _vector_names(df: DataFrame, column: str = "features") -> list[str]:
+    """Plain names of an assembled vector's components."""
+    attrs = df.schema[column].metadata["ml_attr"]["attrs"]
+    names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
+    return [_plain_name(names[i]) for i in sorted(names)]
+
+
 def _plain_name(name: str) -> str:
     """Drop the stage prefixes: ``__h_col___c_col_value`` and ``__n_col`` become plain names."""
     return name[4:] if name.startswith(("__n_", "__h_")) else name
@@ -158,32 +168,97 @@ def top_importances(importances: DataFrame, k: int = 20) -> DataFrame:
     return importances.orderBy(F.col("importance").desc(), "feature").limit(k)
 
 
+def write_importances(importances: DataFrame, path: str) -> str:
+    """Save the importance table (one row per expanded feature)."""
+    return write_table(importances.coalesce(1), path)
+
+
+def optimality(model: PipelineModel, df: DataFrame, label: str, penalty: float) -> DataFrame:
+    """``feature, coefficient, gradient, gap``: how far a logistic fit is from its optimum, over all rows of ``df``.
+
+    One aggregate gives the gradient and the curvature of the weighted, penalised objective at the fitted coefficients. ``gap`` is half the squared Newton
+    decrement: about what the objective could still fall. ``df`` has the label and a weight column ``weight``; the intercept is not penalised.
+    """
+    *_, fitted = model.stages
+    prepared = PipelineModel(stages=model.stages[:-1]).transform(df)
+    rows, x = with_components(prepared, out="__x")
+    x = [*x, F.lit(1.0)]
+    beta = [*fitted.coefficients.toArray().tolist(), float(fitted.intercept)]
+    (p,) = probability_of(df.sparkSession, fitted, x[:-1])
+    n = len(beta)
+    w = F.col("weight").cast("double")
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
+    ready = rows.select(F.array(*x).alias("x"), (w * (p - c(label))).alias("r"), (w * p * (1 - p)).alias("h"), w.alias("w"))
+    sums = ready.agg(F.sum("w").alias("w"), F.array(*[F.sum(F.col("r") * F.col("x")[i]) for i in range(n)]).alias("g"), F.array(*[F.sum(F.col("h") * F.col("x")[i] * F.col("x")[j]) for i, j in pairs]).alias("c")).first()
+    free = np.array([penalty] * (n - 1) + [0.0])
+    gradient = np.array(sums["g"]) / sums["w"] + free * np.array(beta)
+    curvature = np.diag(free)
+    for (i, j), v in zip(pairs, sums["c"]):
+        curvature[i, j] += v / sums["w"]
+        if i != j:
+            curvature[j, i] += v / sums["w"]
+    gap = float(gradient @ np.linalg.solve(curvature, gradient)) / 2
+    names = [*_vector_names(prepared), "intercept"]
+    return df.sparkSession.createDataFrame([(name, float(b), float(g), gap) for name, b, g in zip(names, beta, gradient)], "feature string, coefficient double, gradient double, gap double")
+
+
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``score`` (probability of class 1) and integer ``prediction``."""
     out = model.transform(df)
     return out.withColumn("score", vector_to_array("probability")[1]).withColumn("prediction", F.col("prediction").cast("int"))
 
 
-def cross_validate(df: DataFrame, label: str, keys: list[str], stages: list, est, params: list[dict], folds: int = FOLDS, parallelism: int = 4) -> list[float]:
-    """Mean ROC-AUC of every setting over stratified folds.
+def _ensembles(tries: list[dict]) -> list[tuple[dict, list[int]]]:
+    """Settings that one fit serves: those that differ in the number of trees alone, under the largest number.
 
-    Preparation is fitted once per fold; all settings of a fold share its vectors, and ``parallelism`` of them fit side by side.
+    Trees of an ensemble are grown one after another, so its first n trees are an ensemble of n.
     """
-    folded = stratified_folds(df, label, keys, folds, SEED).persist()
-    judge = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    totals = [0.0] * len(params)
+    shared: dict[tuple, list[int]] = {}
+    for i, t in enumerate(tries):
+        shared.setdefault(tuple((k, v) for k, v in t.items() if k != "trees") if "trees" in t else (i,), []).append(i)
+    return [(max((tries[i] for i in members), key=lambda t: t.get("trees", 0)), members) for members in shared.values()]
+
+
+def _in_parts(df: DataFrame, rows: int) -> DataFrame:
+    """Fewer partitions for few rows: every level of every tree is a job over all of them."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_PART)))
+
+
+def cross_validate(df: DataFrame, label: str, keys: list[str], stages: list, name: str, tries: list[dict], n_rows: int, folds: int = FOLDS, parallelism: int = PARALLELISM) -> DataFrame:
+    """``setting, fold, roc_auc`` of every setting over stratified folds.
+
+    Preparation is fitted once per fold and shared by all its settings, and settings that differ in the number of trees share one fit. The scores of all settings
+    and folds stand in one table, whose exact areas are found in one pass.
+    """
+    spark = df.sparkSession
+    folded = materialize(stratified_folds(df, label, keys, folds, SEED), "folds")
+    est = _classifier(name, label)
+    n_inside = n_rows * (folds - 1) / folds
+    jobs = []
     for fold in range(folds):
         inside, outside = folded.where(F.col("fold") != fold), folded.where(F.col("fold") == fold)
         prep = Pipeline(stages=stages).fit(inside)
-        fit_rows, test_rows = (prep.transform(x).select(c(label), "weight", "features").persist() for x in (inside, outside))
+        fit_rows = _in_parts(prep.transform(inside).select(c(label), "weight", "features"), int(n_inside)).persist()
         fit_rows.count()
-        with ThreadPool(parallelism) as pool:  # threads submit jobs side by side
-            found = pool.map(lambda p: judge.evaluate(est.copy(p).fit(fit_rows).transform(test_rows)), params)
-        totals = [t + x / folds for t, x in zip(totals, found)]
+        test_rows, x = with_components(prep.transform(outside).select(c(label).alias("label"), "features"))
+        test_rows = materialize(test_rows, "fold-rows")
+        jobs += [(fold, fit_rows, test_rows, x, most, members) for most, members in _ensembles(tries)]
+
+    def scores_of(job) -> DataFrame:
+        fold, fit_rows, test_rows, x, most, members = job
+        model = est.copy(_settings(name, est, most, n_inside)).fit(fit_rows)
+        found = probability_of(spark, model, x, [tries[i]["trees"] for i in members] if "trees" in most else None)
+        each = F.array(*[F.struct(F.lit(i).alias("setting"), p.alias("score")) for i, p in zip(members, found)])
+        return materialize(test_rows.select(F.lit(fold).alias("fold"), "label", F.inline(each)), "fold-scores")
+
+    with ThreadPool(parallelism) as pool:  # threads submit jobs side by side
+        tables = pool.map(scores_of, jobs, chunksize=1)
+    for fit_rows in {id(j[1]): j[1] for j in jobs}.values():
         fit_rows.unpersist()
-        test_rows.unpersist()
-    folded.unpersist()
-    return totals
+    scores = tables[0]
+    for more in tables[1:]:
+        scores = scores.unionByName(more)
+    return grouped_auc(scores, ["setting", "fold"])
 
 
 def train(
@@ -194,7 +269,7 @@ def train(
     keys: tuple[str, ...] = ("CustomerId",),
     grid: dict[str, list] | None = None,
     folds: int = FOLDS,
-    parallelism: int = 4,
+    parallelism: int = PARALLELISM,
 ) -> TrainedModel:
     """Grid search by cross-validated ROC-AUC, refit on all training rows, evaluate on test rows."""
     grid = GRIDS[name] if grid is None and name in GRIDS else (grid or {})
@@ -203,27 +278,28 @@ def train(
     weighted, n = with_balanced_weights(train_df, label)
     stages = prep_stages(numeric, categorical)
     tries = _combinations(grid)
-    scores = [math.nan] * len(tries)
+    scores, by_fold = [math.nan] * len(tries), []
     if len(tries) > 1:
-        params = [_settings(name, est, t, n * (folds - 1) / folds) for t in tries]
-        scores = cross_validate(weighted, label, list(keys), stages, est, params, folds, parallelism)
+        by_fold = [tuple(r) for r in cross_validate(weighted, label, list(keys), stages, name, tries, n, folds, parallelism).select("setting", "fold", "roc_auc").collect()]  # settings x folds
+        scores = [sum(a for s, _, a in by_fold if s == i) / folds for i in range(len(tries))]
     best = tries[max(range(len(tries)), key=lambda i: -math.inf if math.isnan(scores[i]) else scores[i])]
-    final = est.copy(_settings(name, est, best, n))
-    model = Pipeline(stages=[*stages, final]).fit(weighted)
+    prepared = Pipeline(stages=stages).fit(weighted)
+    rows = _in_parts(prepared.transform(weighted).select(c(label), "weight", "features"), n).persist()
+    final = est.copy(_settings(name, est, best, n)).fit(rows)
+    rows.unpersist()
+    model = PipelineModel(stages=[*prepared.stages, final])
     predictions = predict(model, test_df)
     row = evaluate(predictions.select(c(label).alias("label"), "prediction", "score")).first().asDict()
-    return TrainedModel(name, model, numeric + categorical, row, best, list(zip(tries, scores)), predictions)
+    return TrainedModel(name, model, numeric + categorical, row, best, list(zip(tries, scores)), predictions, by_fold)
 
 
 def train_all(df: DataFrame, label: str = "is_high_risk", keys: tuple[str, ...] = ("CustomerId",), test_frac: float = 0.2,
-              grids: dict[str, dict[str, list]] | None = None, folds: int = FOLDS, parallelism: int = 4) -> list[TrainedModel]:
+              grids: dict[str, dict[str, list]] | None = None, folds: int = FOLDS, parallelism: int = PARALLELISM) -> list[TrainedModel]:
     """Split once, then train every model of the grid table on the same parts."""
-    train_df, test_df = model_split(df, label, list(keys), test_frac, SEED)
-    train_df, test_df = train_df.persist(), test_df.persist()
+    train_df, test_df = (materialize(part, "model-part") for part in model_split(df, label, list(keys), test_frac, SEED))
     grids = GRIDS if grids is None else grids
-    models = [train(train_df, test_df, name, label, keys, grid, folds, parallelism) for name, grid in grids.items()]
-    train_df.unpersist()  # the test part stays: predictions read it
-    return models
+    with ThreadPool(max(1, len(grids))) as pool:  # the driver waits for jobs most of the time
+        return pool.map(lambda item: train(train_df, test_df, item[0], label, keys, item[1], folds, parallelism), list(grids.items()), chunksize=1)
 
 
 def leaderboard(models: list[TrainedModel], spark: SparkSession) -> DataFrame:
@@ -251,7 +327,3 @@ def run_log(models: list[TrainedModel], data: DataFrame, tags: dict[str, str] |
         if m is best:
             rows.append((run, "tag", "champion_reason", "highest ROC-AUC"))
     return data.sparkSession.createDataFrame(rows, "run_id string, kind string, key string, value string")
-
-
-def append_run_log(log: DataFrame, path: str) -> str:
-    return write_table(log, path, mode="append")
