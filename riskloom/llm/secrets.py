@@ -32,6 +32,7 @@ from riskloom.functions.joins import fits_broadcast, freeze
 from riskloom.llm.common import ship_package
 from riskloom.session import materialize
 
+PICKS_BROADCAST = 50_000  # unseen blobs whose places are sent to every executor, about 20 MB; more are joined by a shuffle
 LEDGER_SCHEMA = "blob string, rules array<string>, findings array<struct<rule: string, start: long, end: long>>"
 
 
@@ -159,7 +160,7 @@ def scan_history(history: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULE
     unseen = materialize(blobs.join(known, "blob", "left").select("blob", "place.path", "place.version", missing.alias("rules")).where(F.size("rules") > 0), "unseen-blobs")
     picks = unseen.withColumnsRenamed({"blob": "__blob", "path": "__path", "version": "__version"})
     same = (F.col("blob") == F.col("__blob")) & F.col("path").eqNullSafe(F.col("__path")) & F.col("version").eqNullSafe(F.col("__version"))
-    todo = texts.join(F.broadcast(picks) if fits_broadcast(picks.select("__blob", "__path", "__version")) else picks, same)
+    todo = texts.join(F.broadcast(picks) if fits_broadcast(picks.select("__blob", "__path", "__version"), PICKS_BROADCAST) else picks, same)
     _scan(todo, rules).write.mode("append").parquet(ledger)
     wanted = F.array(*[F.lit(r.key) for r in rules])
     found = read_ledger(spark, ledger).where(F.size("findings") > 0).select("blob", F.explode("findings").alias("f")).where(F.array_contains(wanted, F.col("f.rule")))
