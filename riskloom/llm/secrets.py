@@ -32,7 +32,7 @@ from riskloom.functions.joins import fits_broadcast, freeze
 from riskloom.llm.common import ship_package
 from riskloom.session import materialize
 
-PICKS_BROADCAST = 50_000  # unseen blobs whose places are sent to every executor, about 20 MB; more are joined by a shuffle
+PICKS_BROADCAST = 5_000  # unseen blobs whose places are sent to every executor, about 2 MB; more are joined by a shuffle
 LEDGER_SCHEMA = "blob string, rules array<string>, findings array<struct<rule: string, start: long, end: long>>"
 
 
