@@ -122,6 +122,14 @@ def random_split_orders(spark, sf_dir):
     return random_split(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey"), ["o_orderkey"])
 
 
+@query("WITH " + _ORDERED.format(s="o_orderstatus") + """
+SELECT o_orderkey, CASE WHEN r <= greatest(1, CAST(floor(n * 0.2) AS BIGINT)) THEN 'test' ELSE 'train' END AS split FROM r""")
+def stratified_split_in_rounds(spark, sf_dir):
+    """The same split found by several rounds of counting, the way of large strata."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderstatus")
+    return stratified_split(orders, "o_orderstatus", ["o_orderkey"], pivot_rows=1).select("o_orderkey", "split")
+
+
 @query("WITH " + _ORDERED.format(s="(o_totalprice > 400000)") + """
 SELECT o_orderkey, CAST(CASE WHEN r <= n * 1 // 5 THEN 0 WHEN r <= n * 2 // 5 THEN 1 WHEN r <= n * 3 // 5 THEN 2 WHEN r <= n * 4 // 5 THEN 3 ELSE 4 END AS BIGINT) AS fold FROM r""")
 def stratified_fold_numbers(spark, sf_dir):

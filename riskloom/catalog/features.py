@@ -210,6 +210,25 @@ def modal_categories(spark, sf_dir):
     return A.modal_categories(txn_orders(spark, sf_dir, with_segment=True), list(_CATS))
 
 
+@query(f"WITH {TXN_LINES} {_modal_sql(('ProductCategory', 'ProviderId'))}")
+def modal_categories_many_values(spark, sf_dir):
+    """The same for a column with few and one with many values."""
+    return A.modal_categories(txn_lines(spark, sf_dir), ["ProductCategory", "ProviderId"])
+
+
+_KEYED = f"""{TXN_LINES}, k AS (SELECT *, CustomerId % 40 AS g FROM txn)"""
+
+
+@query(f"WITH {_KEYED}, c AS (SELECT ProviderId, count(*) AS n FROM txn GROUP BY 1) SELECT CustomerId, g AS \"group\", round((SELECT n FROM c WHERE c.ProviderId = z.ProviderId) / (SELECT count(*) FROM txn) + 1e-9, 6) + 0.0 AS \"ProviderId_freq\", "
+       f"round(count(*) OVER (PARTITION BY g) / (SELECT count(*) FROM txn) + 1e-9, 6) + 0.0 AS \"group_freq\" FROM k z")
+def encode_many_categories(spark, sf_dir):
+    """Frequencies of two columns with many values in one projection, on transactions."""
+    txn = txn_lines(spark, sf_dir).select("CustomerId", "ProviderId", (F.col("CustomerId") % 40).cast("string").alias("group"))
+    txn = materialize(txn, "keyed-lines")
+    out = CategoryEncoder(["ProviderId", "group"]).fit(txn).transform(txn)
+    return rounded(out.select("CustomerId", F.col("group").cast("bigint").alias("group"), "ProviderId_freq", "group_freq"), 6)
+
+
 def _customer_categories(spark, sf_dir):
     return materialize(A.modal_categories(txn_lines(spark, sf_dir), ["ProductCategory", "ChannelId"]), "categories")
 
@@ -315,6 +334,37 @@ def woe_numeric_bins(spark, sf_dir):
     return rounded(Woe(["Amount_sum"], "HasFraud", 4, "CustomerId").fit(materialize(df, "amounts")).table, iv=6)
 
 
+_SEVERAL = ("Amount_sum", "Frequency", "Holes")
+
+
+def _several_numerics(spark, sf_dir):
+    """A measure, a count with heavy ties, and a measure with NaN and null in a third of the rows."""
+    df = _labeled_amounts(spark, sf_dir).select("CustomerId", F.round("Amount_sum", 2).alias("Amount_sum"), F.col("TransactionStartTime_count").alias("Frequency"), "HasFraud")
+    kind = F.col("CustomerId") % 6
+    return materialize(df.withColumn("Holes", F.when(kind == 0, F.lit(float("nan"))).when(kind == 1, None).otherwise(F.floor("Amount_sum") % 50)), "several")
+
+
+_SEVERAL_BINS = f"""{TXN_ORDERS}, a AS (SELECT CustomerId, round(sum(Amount), 2) AS s, count(*) AS f, max(FraudResult) AS HasFraud FROM txn GROUP BY CustomerId),
+v AS (SELECT CustomerId, HasFraud, 'Amount_sum' AS feature, s::DOUBLE AS x FROM a UNION ALL SELECT CustomerId, HasFraud, 'Frequency', f::DOUBLE FROM a
+  UNION ALL SELECT CustomerId, HasFraud, 'Holes', CAST(floor(s) AS BIGINT) % 50 FROM a WHERE CustomerId % 6 > 1),
+r AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY x, CustomerId) AS r, count(*) OVER (PARTITION BY feature) AS n FROM v),
+b AS (SELECT CustomerId, feature, CAST(CAST(greatest(1, ceil((r - 1) * 5 / (n - 1))) AS BIGINT) AS VARCHAR) AS bin, HasFraud FROM r)"""
+
+
+@query(f"WITH {_SEVERAL_BINS}, {_WOE} SELECT feature, bin, round(good + 1e-9, 4) + 0.0 AS good, round(bad + 1e-9, 4) + 0.0 AS bad, round(woe + 1e-9, 4) + 0.0 AS woe, round(iv + 1e-9, 6) + 0.0 AS iv FROM w")
+def woe_several_numerics(spark, sf_dir):
+    """Edges of several numeric features found in the same rounds, with ties, NaN and nulls."""
+    return rounded(Woe(list(_SEVERAL), "HasFraud", 5, "CustomerId").fit(_several_numerics(spark, sf_dir)).table, iv=6)
+
+
+@query(f"WITH {_SEVERAL_BINS}, {_WOE} SELECT a.CustomerId, " + ", ".join(f"round(coalesce(max(CASE WHEN b.feature = '{n}' THEN woe END), 0) + 1e-9, 4) + 0.0 AS \"{n}_woe\"" for n in _SEVERAL)
+       + " FROM a LEFT JOIN b ON a.CustomerId = b.CustomerId LEFT JOIN w ON b.feature = w.feature AND b.bin = w.bin GROUP BY a.CustomerId")
+def woe_several_apply(spark, sf_dir):
+    """WoE of several numeric features in one projection."""
+    df = _several_numerics(spark, sf_dir)
+    return rounded(Woe(list(_SEVERAL), "HasFraud", 5, "CustomerId").fit(df).transform(df, keep=["CustomerId"]))
+
+
 @query(f"WITH {_RANKED}, {_WOE} SELECT CustomerId, round(woe + 1e-9, 4) + 0.0 AS \"Amount_sum_woe\" FROM b JOIN w USING (feature, bin)")
 def woe_numeric_apply(spark, sf_dir):
     """Rank-binned WoE joined back to customers."""

@@ -73,7 +73,7 @@ def describe(spark, sf_dir):
 def quantiles_by_counting(spark, sf_dir):
     """Exact quantiles by rounds of counting, the way of tables too large for one aggregate."""
     names = ["l_quantity", "l_extendedprice", "l_discount"]
-    found = exact_quantiles(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), names, [0.25, 0.5, 0.99], one_pass_values=0)
+    found = exact_quantiles(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), names, [0.25, 0.5, 0.99], one_pass_values=0, collect_limit=200)
     return rounded(spark.createDataFrame([(n, *found[n]) for n in names], "feature string, p25 double, p50 double, p99 double"))
 
 

@@ -166,7 +166,7 @@ def _sampled_keys(df: DataFrame, name: str, n_rows: int, want: int = SAMPLED_KEY
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    one_pass_values: int = ONE_PASS_VALUES) -> dict[str, list[float | None]]:
+                    one_pass_values: int = ONE_PASS_VALUES, collect_limit: int = COLLECT_VALUES) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles (the numpy / pandas default) per numeric column."""
     if not cols:
         return {}
@@ -180,7 +180,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
         if counts[n]:
             at = [(counts[n] - 1) * p for p in probs]
             wanted[n] = sorted({int(k) + 1 for pos in at for k in (math.floor(pos), math.ceil(pos))})
-    values = order_statistics(work, wanted)
+    values = order_statistics(work, wanted, collect_limit)
     result: dict[str, list[float | None]] = {}
     for n in cols:
         if not counts[n]:

@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 
 from riskloom.columns import DEFAULT, TxnColumns
 from riskloom.functions.exprs import c, day_floor, elapsed_micros, nan_to_null, sample_skewness, string_columns
+from riskloom.functions.joins import freeze
+from riskloom.functions.order_stats import dense_codes
 from riskloom.operators.calendar import calendar_means
 
 RECENT_DAYS = 30
+FEW_VALUES = 32  # values of a category that are counted in columns of their own
+_CODES = 1 << 31  # codes of a category, at most
 
 
 def with_customer(txn: DataFrame, cols: TxnColumns = DEFAULT) -> DataFrame:
@@ -68,8 +72,12 @@ def customer_aggregates(
     calendar: bool = True,
     cyclical: bool = True,
     label: bool = True,
+    categories: dict[str, list] | None = None,
 ) -> DataFrame:
-    """One row per customer with every mergeable feature, from one scan and one exchange."""
+    """One row per customer with every mergeable feature, from one scan and one exchange.
+
+    ``categories`` (column: sorted values) adds the most frequent value of each.
+    """
     txn = nan_to_null(txn, [n for n in (cols.amount, cols.value) if n in txn.columns])
     time = c(cols.time)
     aggs = [*measure_stats(cols.amount), *measure_stats(cols.value),
@@ -82,6 +90,7 @@ def customer_aggregates(
         aggs += calendar_means(time, cyclical)
     if label and cols.label in txn.columns:
         aggs.append(F.max(c(cols.label)).alias("HasFraud"))
+    aggs += [modal_value(n, values, txn.schema[n].dataType) for n, values in (categories or {}).items()]
     return with_customer(rows, cols).groupBy(c(cols.id)).agg(*aggs)
 
 
@@ -106,19 +115,62 @@ def category_columns(txn: DataFrame, cols: TxnColumns = DEFAULT) -> list[str]:
     return [n for n in string_columns(txn) if n not in (cols.id, cols.time)]
 
 
-def modal_categories(txn: DataFrame, categories: list[str], cols: TxnColumns = DEFAULT) -> DataFrame:
-    """Most frequent value per customer and column, smallest on ties, null if all are null.
+def category_values(txn: DataFrame, categories: list[str]) -> dict[str, list]:
+    """Sorted values of the columns that have at most ``FEW_VALUES`` of them; a sketch keeps the others out."""
+    if not categories:
+        return {}
+    near = txn.agg(*[F.approx_count_distinct(c(n)).alias(n) for n in categories]).first()
+    few = [n for n in categories if near[n] <= 2 * FEW_VALUES]
+    if not few:
+        return {}
+    row = txn.agg(*[F.sort_array(F.collect_set(c(n))).alias(n) for n in few]).first()  # bounded by the sketch
+    return {n: list(row[n]) for n in few if len(row[n]) <= FEW_VALUES}
 
-    Rows are first counted per combination of categories, so the long form has
-    one row per distinct combination instead of one per transaction.
+
+def modal_value(name: str, values: list, kind) -> Column:
+    """Aggregate: the most frequent of ``values``, the first on ties, null if there is none.
+
+    Count and position are packed in one number, so the largest number is the answer.
     """
-    combos = with_customer(txn, cols).groupBy(c(cols.id), *[c(n) for n in categories]).agg(F.count("*").alias("n"))
+    packed = [F.count_if(c(name) == F.lit(v).cast(kind)) * FEW_VALUES + (FEW_VALUES - 1 - i) for i, v in enumerate(values)]
+    if not packed:
+        return F.max(F.lit(None).cast(kind)).alias(name)
+    best = packed[0] if len(packed) == 1 else F.greatest(*packed)
+    position = F.lit(FEW_VALUES - 1) - F.pmod(best, F.lit(FEW_VALUES))
+    return F.when(best >= FEW_VALUES, F.get(F.array(*[F.lit(v).cast(kind) for v in values]), position.cast("int"))).alias(name)
+
+
+def _modes_by_code(txn: DataFrame, categories: list[str], cols: TxnColumns) -> DataFrame:
+    """Modes of columns with many values: rows are counted per customer and value, then counts and codes packed."""
     pairs = F.array(*[F.struct(F.lit(i).alias("f"), c(n).cast("string").alias("v")) for i, n in enumerate(categories)])
-    counts = combos.select(c(cols.id), "n", F.inline(pairs)).groupBy(c(cols.id), "f", "v").agg(F.sum("n").alias("n"))
-    picks = []
+    counts = with_customer(txn, cols).select(c(cols.id).alias("__id"), F.inline(pairs)).where(F.col("v").isNotNull()).groupBy("__id", "f", "v").agg(F.count("*").alias("n"))
+    books = [dense_codes(txn, n).select(F.lit(i).alias("f"), F.col("value").cast("string").alias("v"), "code") for i, n in enumerate(categories)]
+    book = books[0]
+    for more in books[1:]:
+        book = book.unionByName(more)
+    named = freeze(book, "category-codes")
+    key = F.concat_ws(":", "f", "v")
+    coded = named.select(key.alias("__key"), F.col("code")).attach(counts, key, "__key")
+    packed = F.col("n") * _CODES + (_CODES - 1 - F.col("code"))
+    out = coded.groupBy("__id").agg(*[F.max(F.when(F.col("f") == i, packed)).alias(f"__m{i}") for i in range(len(categories))])
     for i, n in enumerate(categories):
-        mine = (F.col("f") == i) & F.col("v").isNotNull()
-        typed = F.col("v").cast(txn.schema[n].dataType)  # ties order by the column's own type
-        best = F.min(F.when(mine, F.struct((-F.col("n")).alias("n"), typed.alias("v"))))
-        picks.append(best["v"].alias(n))
-    return counts.groupBy(c(cols.id)).agg(*picks)
+        mine = named.where(F.col("f") == i).select((F.lit(_CODES - 1) - F.col("code")).alias("__code"), F.col("v").cast(txn.schema[n].dataType).alias(n))
+        out = mine.attach(out, F.pmod(F.col(f"__m{i}"), F.lit(_CODES)), "__code")
+    return out.select(F.col("__id").alias(cols.id), *[c(n) for n in categories])
+
+
+def modal_categories(txn: DataFrame, categories: list[str], cols: TxnColumns = DEFAULT) -> DataFrame:
+    """Most frequent value per customer and column, smallest on ties, null if all are null.
+
+    Columns with few values need one aggregate and one exchange. The others are counted per customer and value, and the counts meet sorted codes of the values.
+    """
+    values = category_values(txn, categories)
+    few, many = [n for n in categories if n in values], [n for n in categories if n not in values]
+    out = None
+    if few or not many:
+        out = with_customer(txn, cols).groupBy(c(cols.id)).agg(*[modal_value(n, values[n], txn.schema[n].dataType) for n in few] or [F.count("*").alias("__n")])
+    if many:
+        # customers without any value of these columns are missing there
+        base = out if out is not None else with_customer(txn, cols).groupBy(c(cols.id)).agg(F.count("*").alias("__n"))
+        out = base.join(_modes_by_code(txn, many, cols), cols.id, "left")
+    return out.select(c(cols.id), *[c(n) for n in categories])

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions.exprs import NULL_TOKEN, c
 from riskloom.functions.joins import Lookup, freeze
+from riskloom.functions.packed import PackedMaps
 from riskloom.operators.profile import column_value_counts
 
 LOW_CARDINALITY = 8  # fixed value: most distinct values, null included, that are one-hot encoded
@@ -28,6 +29,7 @@ class CategoryEncoderModel:
     one_hot: dict[str, list[str]]
     frequency_cols: list[str]
     shares: Lookup | None = field(default=None, repr=False)  # feature, value, share
+    maps: PackedMaps | None = field(default=None, repr=False)
 
     @property
     def feature_names(self) -> list[str]:
@@ -40,11 +42,11 @@ class CategoryEncoderModel:
         """Encoded columns next to ``keep`` (default: all columns); unseen values give 0."""
         keep = df.columns if keep is None else keep
         out = df
-        for n in self.frequency_cols:
-            mine = self.shares.where(F.col("feature") == n).select(F.col("value").alias("__v"), F.col("share").alias(f"{n}_freq"))
-            out = mine.attach(out, filled(n, df.schema[n].dataType), "__v")
-        shares = [F.coalesce(c(f"{n}_freq"), F.lit(0.0)).alias(f"{n}_freq") for n in self.frequency_cols]
-        return out.select(*[c(k) for k in keep], *self.one_hot_exprs(df.schema), *shares)
+        if self.frequency_cols:
+            if self.maps is None:
+                self.maps = PackedMaps(self.shares, "feature", "value", "share")
+            out = self.maps.attach(df, {n: filled(n, df.schema[n].dataType) for n in self.frequency_cols}, {n: f"{n}_freq" for n in self.frequency_cols})
+        return out.select(*[c(k) for k in keep], *self.one_hot_exprs(df.schema), *[c(f"{n}_freq") for n in self.frequency_cols])
 
 
 def category_shares(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -78,9 +78,11 @@ def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, unique, top and freq per text column; ties go to the smallest value."""
     counts = column_value_counts(df, cols or string_columns(df)).where(F.col("value").isNotNull())
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("value")))
-    return counts.groupBy(F.col("feature").alias("column")).agg(
-        F.sum("n").alias("count"), F.count("*").alias("unique"), best["value"].alias("top"), (-best["n"]).alias("freq"))
+    sums = counts.groupBy("feature").agg(F.sum("n").alias("count"), F.count("*").alias("unique"), F.max("n").alias("freq"))
+    # of the values that reach the largest count, the smallest; one row per column on the broadcast side
+    tops = counts.join(F.broadcast(sums.select(F.col("feature").alias("__f"), "freq")), (F.col("feature") == F.col("__f")) & (F.col("n") == F.col("freq")))
+    first = tops.groupBy("feature").agg(F.mode("value", deterministic=True).alias("top"))  # all as frequent: the smallest
+    return sums.join(F.broadcast(first), "feature").select(F.col("feature").alias("column"), "count", "unique", "top", "freq")
 
 
 def suggestion(missing: Column, percent: Column, numeric: Column) -> Column:

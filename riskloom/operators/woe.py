@@ -12,9 +12,11 @@ from pyspark.sql import types as T
 from riskloom.functions.exprs import c, nan_to_null
 from riskloom.functions.order_stats import order_statistics
 from riskloom.functions.joins import Lookup, freeze
+from riskloom.functions.packed import PackedMaps
 from riskloom.operators.encode import filled
 
 MIN_IV = 0.02  # fixed value
+SURELY_MANY = 20  # a sketch that finds so many times the limit is not wrong about it
 EMPTY_CELL = 0.5  # fixed value: count used for an empty class in a bin
 IV_BANDS = ((0.02, "none"), (0.1, "weak"), (0.3, "medium"))  # fixed values: upper bounds, else strong
 
@@ -44,29 +46,50 @@ class WidthEdges:
         return F.when(value.isNotNull(), F.greatest(F.lit(1), F.least(F.lit(self.bins), at)).cast("int"))
 
 
-def rank_edges(df: DataFrame, feature: str, key: str, bins: int) -> RankEdges:
-    """Quantile edges of the first-come rank: bin b ends at rank ``1 + b*(n-1) div bins``.
+def rank_edges(df: DataFrame, features: list[str], key: str, bins: int) -> dict[str, RankEdges]:
+    """Quantile edges of the first-come rank per feature: bin b ends at rank ``1 + b*(n-1) div bins``.
 
-    Each edge is found by counting: first the value at that rank, then, among
-    the rows that share it, the key at the remaining position.
+    Edges of all features are found by counting in the same rounds: first the values at the wanted ranks, then how many rows lie below and at each, and
+    only where a bin ends inside rows of one value, the key at the remaining position among them.
     """
-    rows = df.select(c(feature).cast("double").alias("v"), c(key).alias("k"))
-    rows = nan_to_null(rows).where(F.col("v").isNotNull())
-    n = rows.count()
-    ranks = [1 + b * (n - 1) // bins for b in range(1, bins)] if n else []
-    values = order_statistics(rows, {"v": ranks})["v"] if ranks else {}
-    edges = []
-    for v in sorted(set(values.values())):
-        below = rows.where(F.col("v") < F.lit(v)).count()
-        inside = sorted({r - below for r in ranks if values[r] == v})
-        keys = order_statistics(rows.where(F.col("v") == F.lit(v)), {"k": inside})["k"]
-        edges += [(v, keys[i]) for i in inside]
-    return RankEdges(tuple(edges))
-
-
-def width_edges(df: DataFrame, feature: str, bins: int) -> WidthEdges | None:
-    row = nan_to_null(df.select(c(feature).cast("double").alias("v"))).agg(F.min("v"), F.max("v")).first()
-    return None if row[0] is None else WidthEdges(row[0], row[1], bins)
+    v = {n: f"__v{i}" for i, n in enumerate(features)}
+    rows = nan_to_null(df.select(*[c(n).cast("double").alias(v[n]) for n in features], c(key).alias("__key")))
+    sizes = rows.agg(*[F.count(v[n]).alias(v[n]) for n in features]).first()
+    ranks = {n: sorted({1 + b * (sizes[v[n]] - 1) // bins for b in range(1, bins)}) if sizes[v[n]] else [] for n in features}
+    values = order_statistics(rows, {v[n]: ranks[n] for n in features if ranks[n]})
+    at = [(n, x) for n in features for x in sorted(set(values.get(v[n], {}).values()))]
+    if not at:
+        return {n: RankEdges(()) for n in features}
+    counts = rows.agg(*[e for i, (n, x) in enumerate(at) for e in (
+        F.count_if(c(v[n]) < F.lit(x)).alias(f"lt{i}"), F.count_if(c(v[n]) == F.lit(x)).alias(f"eq{i}"),
+        F.max(F.when(c(v[n]) == F.lit(x), F.col("__key"))).alias(f"top{i}"))]).first()
+    inside = {i: sorted({r - counts[f"lt{i}"] for r in ranks[n] if values[v[n]][r] == x}) for i, (n, x) in enumerate(at)}
+    split = {i: [p for p in places if p < counts[f"eq{i}"]] for i, places in inside.items()}  # a bin that takes all rows of its value ends at their last key
+    ties = rows.select(*[F.when(c(v[at[i][0]]) == F.lit(at[i][1]), F.col("__key")).alias(f"k{i}") for i, places in split.items() if places])
+    keys = order_statistics(ties, {f"k{i}": places for i, places in split.items() if places}) if ties.columns else {}
+    edges: dict[str, list] = {n: [] for n in features}
+    for i, (n, x) in enumerate(at):
+        edges[n] += [(x, counts[f"top{i}"] if p == counts[f"eq{i}"] else keys[f"k{i}"][p]) for p in inside[i]]
+    return {n: RankEdges(tuple(e)) for n, e in edges.items()}
+
+
+def width_edges(df: DataFrame, features: list[str], bins: int) -> dict[str, WidthEdges | None]:
+    """Equal-width edges of all features from one aggregate."""
+    rows = nan_to_null(df.select(*[c(n).cast("double").alias(n) for n in features]))
+    row = rows.agg(*[F.struct(F.min(c(n)).alias("lo"), F.max(c(n)).alias("hi")).alias(n) for n in features]).first()
+    return {n: None if row[n]["lo"] is None else WidthEdges(row[n]["lo"], row[n]["hi"], bins) for n in features}
+
+
+def many_valued(df: DataFrame, features: list[str], limit: int) -> list[str]:
+    """Features with more than ``limit`` distinct values, a missing one counted as a value.
+
+    A sketch settles all that have clearly more; only the others are counted exactly, and those have few values.
+    """
+    filled = {n: F.coalesce(c(n).cast("double"), F.lit(float("nan"))) for n in features}
+    near = df.agg(*[F.approx_count_distinct(filled[n]).alias(n) for n in features]).first()
+    few = [n for n in features if near[n] <= SURELY_MANY * (limit + 1)]
+    exact = df.agg(*[F.count_distinct(filled[n]).alias(n) for n in few]).first() if few else {}
+    return [n for n in features if n not in few or exact[n] > limit]
 
 
 def bin_counts(df: DataFrame, bins: dict[str, Column], label: str) -> DataFrame:
@@ -113,6 +136,7 @@ class WoeModel:
     edges: dict[str, RankEdges | WidthEdges]
     key: str | None
     ivs: dict[str, float]
+    maps: PackedMaps | None = field(default=None, repr=False)
 
     @property
     def table(self) -> DataFrame:
@@ -121,7 +145,8 @@ class WoeModel:
     def bin_exprs(self, schema: T.StructType) -> dict[str, Column]:
         key = c(self.key) if self.key else F.lit(None)
         out = {n: filled(n, schema[n].dataType) for n in self.categorical}
-        out.update({n: e.bin_of(c(n).cast("double"), key) for n, e in self.edges.items()})
+        number = {n: c(n).cast("double") for n in self.edges}
+        out.update({n: e.bin_of(F.when(~F.isnan(number[n]), number[n]), key) for n, e in self.edges.items()})  # a missing number is in no bin
         return out
 
     def kept(self, min_iv: float = MIN_IV) -> list[str]:
@@ -132,12 +157,10 @@ class WoeModel:
         """Add ``<feature>_woe``; bins never seen at fit time give 0."""
         bins = self.bin_exprs(df.schema)
         features = list(bins) if features is None else features
-        out = df
-        for n in features:
-            mine = self.lookup.where(F.col("feature") == n).select(F.col("bin").alias("__b"), F.col("woe").alias(f"{n}_woe"))
-            out = mine.attach(out, bins[n].cast("string"), "__b")
-        base = df.columns if keep is None else keep
-        return out.select(*[c(k) for k in base], *[F.coalesce(c(f"{n}_woe"), F.lit(0.0)).alias(f"{n}_woe") for n in features])
+        if self.maps is None:
+            self.maps = PackedMaps(self.lookup, "feature", "bin", "woe")
+        out = self.maps.attach(df, {n: bins[n].cast("string") for n in features}, {n: f"{n}_woe" for n in features})
+        return out.select(*[c(k) for k in (df.columns if keep is None else keep)], *[c(f"{n}_woe") for n in features])
 
 
 @dataclass(frozen=True)
@@ -164,15 +187,13 @@ class Woe:
         features = [n for n in self.features if n in df.columns]
         numeric = [n for n in features if isinstance(df.schema[n].dataType, T.NumericType)]
         edges: dict[str, RankEdges | WidthEdges] = {}
-        if numeric:
-            distinct = df.agg(*[F.count_distinct(F.coalesce(c(n).cast("double"), F.lit(float("nan")))).alias(n) for n in numeric]).first()
-            for n in (n for n in numeric if distinct[n] > self.bins):
-                if self.numeric_method == "rank":
-                    if self.key is None:
-                        raise ValueError("rank binning needs a key column to split ties")
-                    edges[n] = rank_edges(df, n, self.key, self.bins)
-                else:
-                    edges[n] = width_edges(df, n, self.bins)
+        binned = many_valued(df, numeric, self.bins) if numeric else []
+        if binned and self.numeric_method == "rank":
+            if self.key is None:
+                raise ValueError("rank binning needs a key column to split ties")
+            edges.update(rank_edges(df, binned, self.key, self.bins))
+        elif binned:
+            edges.update(width_edges(df, binned, self.bins))
         model = WoeModel(Lookup(df, False), [n for n in features if n not in edges], edges, self.key, {})
         table = freeze(woe_of_counts(bin_counts(df, model.bin_exprs(df.schema), self.label)), "woe-table")
         ivs = {r["feature"]: r["iv"] for r in information_values(table.df).collect()}  # one row per feature

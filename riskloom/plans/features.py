@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from riskloom.columns import DEFAULT, TxnColumns
 from riskloom.functions.exprs import c
-from riskloom.operators.aggregate import category_columns, customer_aggregates, modal_categories
+from riskloom.operators.aggregate import category_columns, category_values, customer_aggregates, modal_categories
 from riskloom.operators.encode import LOW_CARDINALITY, CategoryEncoder, CategoryEncoderModel
 from riskloom.operators.normalize import Normalizer, NormalizerModel, log_columns
 from riskloom.operators.temporal import VELOCITY_WINDOWS, calendar_modes, temporal_features
@@ -42,20 +42,22 @@ BASIC = FeatureConfig(recent=False, cyclical=False, gaps=False, velocity_windows
 def customer_base(txn: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> tuple[DataFrame, list[str]]:
     """Customer rows with numeric features, ``HasFraud`` if labelled, and modal categories.
 
-    Three branches over column-pruned scans, each reduced to one row per
-    customer before it is joined on the customer key.
+    Branches over column-pruned scans, each reduced to one row per customer before it is joined on the customer key. Categories with few values
+    belong to the first branch; only those with many need one of their own.
     """
     cols = cfg.cols
     categories = [n for n in (cfg.categories if cfg.categories is not None else category_columns(txn, cols)) if n in txn.columns]
-    out = customer_aggregates(txn, cols, recent=cfg.recent, cyclical=cfg.cyclical)
+    values = category_values(txn, categories)
+    out = customer_aggregates(txn, cols, recent=cfg.recent, cyclical=cfg.cyclical, categories=values)
     if cfg.gaps or cfg.velocity_windows:
         timed = temporal_features(txn, cols, cfg.gaps, cfg.velocity_windows, cfg.calendar_velocity)
     else:
         timed = calendar_modes(txn, cols)
     out = out.join(timed, cols.id, "left")
-    if categories:
-        out = out.join(modal_categories(txn, categories, cols), cols.id, "left")
-    return out, categories
+    many = [n for n in categories if n not in values]
+    if many:
+        out = out.join(modal_categories(txn, many, cols), cols.id, "left")
+    return out.select(*[c(n) for n in out.columns if n not in categories], *[c(n) for n in categories]), categories
 
 
 def _ordered(columns: list[str], cfg: FeatureConfig, leave_out: set[str]) -> list[str]:
