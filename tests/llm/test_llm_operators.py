@@ -119,31 +119,60 @@ def test_star_shaped_families_and_chains(spark):
         assert {i: r["component_id"] for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
 
 
-def test_a_region_that_forgets_still_links_neighbours(monkeypatch):
-    monkeypatch.setattr(near_dedup, "INDEX_ITEMS", 2_000)
-    region = near_dedup._Region(85)
-    links = [region.add(i, list(range(i, i + 100))) for i in range(300)]  # each is like those just before it
-    assert all(found and max(found) >= i - 8 for i, found in enumerate(links) if i) and len(region.docs) < 30
+def test_links_of_a_region_connect_what_is_alike():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64) + np.uint64(40 * (i % 3))) for i in range(60)] + [np.array([], dtype=np.uint64)]
+    links = list(near_dedup.region_links(list(range(61)), sets, 45))
+    parent = list(range(61))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
 
+    for i in range(61):
+        for j in range(i):
+            n = len(np.intersect1d(sets[i], sets[j]))
+            if n and 100 * n >= 45 * (len(sets[i]) + len(sets[j]) - n):
+                parent[root(i)] = root(j)
+    want = len({root(x) for x in range(61)})
+    assert len(links) == 61 - want and all(root(a) == root(b) for a, b in links) and 1 < want < 61
 
-@pytest.mark.parametrize("rows_per_range, index_items", [(20, 2_000), (20, 1_000_000), (4_000, 2_000)])
-def test_regions_beyond_a_range_and_the_index_are_finished(spark, monkeypatch, rows_per_range, index_items):
-    monkeypatch.setattr(near_dedup, "ROWS_PER_RANGE", rows_per_range)
-    monkeypatch.setattr(near_dedup, "INDEX_ITEMS", index_items)
+
+def star_family():
+    """Texts that are each like the base only, so that no two others are alike."""
     rng = np.random.default_rng(9)
     base = [f"w{k}" for k in range(200)]
     texts = []
-    for _ in range(300):  # each is like the base only, and no two of them are alike
+    for _ in range(300):
         copy = list(base)
         for at in rng.choice(np.arange(5, 195, 5), 5, replace=False):
             copy[at] = f"x{rng.integers(0, 10**9)}"
         texts.append(" ".join(copy))
-    texts = dict(enumerate([*texts, " ".join(base)]))
+    return dict(enumerate([*texts, " ".join(base)]))
+
+
+@pytest.mark.parametrize("region_rows, region_items, pivots", [(20, 2_000, 32), (20, 1_000_000, 0), (4_000, 2_000, 1), (4_000, 1_000_000, 32)])
+def test_regions_beyond_the_limits_are_finished(spark, monkeypatch, region_rows, region_items, pivots):
+    monkeypatch.setattr(near_dedup, "REGION_ROWS", region_rows)
+    monkeypatch.setattr(near_dedup, "REGION_ITEMS", region_items)
+    monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
+    texts = star_family() if region_rows < 4_000 else {**star_family(), **{1_000 + i: t for i, t in family_texts().items()}}
     want = brute_components(texts, 3, 85)
     got = by_id(near_dedup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 85))
     assert {i: r["component_id"] for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
 
 
+def test_ids_with_several_texts(spark):
+    one, two = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, one), (1, two), (3, two + " more"), (4, one + " more"), (5, "something else altogether here now"), (5, "something else altogether here now"), (None, two), (-2, " ".join(f"c{k}" for k in range(60)))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(table, 3, 85).collect())
+    assert got == collections.Counter({(1, 1): 2, (3, 1): 1, (4, 1): 1, (5, 5): 2, (None, 1): 1, (-2, -2): 1})
+    left = collections.Counter(map(tuple, near_dedup.drop_near_duplicates(table, 3, 85).collect()))
+    assert left == collections.Counter({(1, one): 1, (1, two): 1, rows[5]: 1, rows[7]: 1})
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 501)], "a long, b long")
     got = {r["id"]: r["component"] for r in near_dedup.components(links).collect()}
