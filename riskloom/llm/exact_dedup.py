@@ -4,8 +4,8 @@ Texts are equal when they agree after removal of white space. Misra-Gries summar
 that may hold a large share of the rows; these (at most ``counters + 1``) are counted exactly, and their winners are broadcast, so that
 their rows need no shuffle. All other digests go through ordinary grouping, where no group is large.
 
-Defined results: a null text is the empty text, all empty texts are copies of each other; of repeated rows with one doc_id one is
-kept; a null doc_id comes after all others; other columns are ignored.
+Defined results: a null text is the empty text, all empty texts are copies of each other; of rows with equal texts the longest original stays, among those the smallest
+doc_id, and of repeated rows with one doc_id one; a null doc_id comes after all others; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.exprs import c
 from riskloom.llm.common import SPACES, narrow
 from riskloom.session import materialize
 
@@ -68,9 +69,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
+    """The rows of ``docs`` that stay, with their columns; one row of each group of equal texts, also where ids repeat."""
     kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
     tagged = docs.withColumn("__digest", text_digest(docs[text_col].cast("string")))
-    stay = tagged.join(kept, (F.col("__digest") == F.col("__sha")) & docs[id_col].eqNullSafe(F.col("__id")), "left_semi").drop("__digest")
-    repeated = docs.groupBy(id_col).count().where("count > 1").limit(1).count()
-    return stay.dropDuplicates([id_col, text_col]) if repeated else stay  # the same row twice: one stays
+    same = (F.col("__digest") == F.col("__sha")) & docs[id_col].eqNullSafe(F.col("__id"))
+    if not docs.groupBy(id_col).count().where("count > 1").limit(1).count():
+        return tagged.join(kept, same, "left_semi").drop("__digest")
+    # an id with several equal texts: the longest of them stays, one of those as long
+    tagged = tagged.withColumn("__n", F.coalesce(F.char_length(c(text_col).cast("string")), F.lit(0)))
+    stay = tagged.join(kept, same, "left_semi")
+    longest = stay.groupBy("__digest").agg(F.max("__n").alias("__most")).withColumnRenamed("__digest", "__of")
+    stay = stay.join(longest, (F.col("__digest") == F.col("__of")) & (F.col("__n") == F.col("__most")), "left_semi")
+    return stay.dropDuplicates(["__digest"]).drop("__digest", "__n")

@@ -72,16 +72,17 @@ def repeated_words(words: Words, k: int = 3) -> np.ndarray:
 _GROUPS = 4  # words, word pairs, runs of three bytes, runs of four
 
 
-def _gram_keys(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Coordinates and text ends (as index into them) of each feature group; every text has a contiguous part."""
+def _gram_keys(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Coordinates of each feature group, and where those of each text begin and end; no gram reaches over the end of its text."""
     shift, group = np.uint64(64 - BITS), np.uint64(0xC2B2AE3D27D4EB4F)
     with np.errstate(over="ignore"):
         h = words.hashes
-        yield (h >> shift).astype(np.int64), words.firsts
+        begins, ends = words.firsts[:-1], words.firsts[1:]
+        yield (h >> shift).astype(np.int64), begins, ends
         pairs = mix64(h[:-1] * np.uint64(3) + h[1:] + group)
-        yield (pairs >> shift).astype(np.int64), np.minimum(words.firsts, len(pairs))  # the pair across two texts counts for the first
+        yield (pairs >> shift).astype(np.int64), np.minimum(begins, len(pairs)), np.clip(ends - 1, np.minimum(begins, len(pairs)), None)
         b = words.bytes.astype(np.uint32)
-        edges = np.concatenate([[0], words.text_ends])
+        edges = np.concatenate([[0], words.text_ends])  # a text's own line end is its last byte
         for k in (3, 4):
             n = max(len(b) - k + 1, 0)
             acc = np.zeros(n, dtype=np.uint32)
@@ -89,11 +90,13 @@ def _gram_keys(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 acc = acc * np.uint32(0x01000193) + b[i:i + n] * np.uint32(0x9E3779B1 & 0xFFFFFFFF)
             acc ^= acc >> np.uint32(15)
             acc *= np.uint32(0x85EBCA6B)
-            yield (acc >> np.uint32(32 - BITS)).astype(np.int64), np.minimum(edges, n)
+            begins = np.minimum(edges[:-1], n)
+            yield (acc >> np.uint32(32 - BITS)).astype(np.int64), begins, np.maximum(edges[1:] - k + 1, begins)
 
 
-def _sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    return np.diff(np.concatenate([[0.0], np.cumsum(values)])[edges])
+def _sums(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
+    return total[ends] - total[begins]
 
 
 def packed_features(texts: list[bytes]) -> list[bytes]:
@@ -103,8 +106,8 @@ def packed_features(texts: list[bytes]) -> list[bytes]:
     out = []
     for i in range(len(texts)):
         at, share = [], []
-        for g, (keys, edges) in enumerate(groups):
-            got, times = np.unique(keys[edges[i]:edges[i + 1]], return_counts=True)
+        for g, (keys, begins, ends) in enumerate(groups):
+            got, times = np.unique(keys[begins[i]:ends[i]], return_counts=True)
             at.append(got + (g << BITS))
             share.append(times / max(times.sum(), 1))
         out.append(np.rec.fromarrays([np.concatenate(at).astype(np.int32), np.concatenate(share).astype(np.float32)], names="i,v").tobytes())
@@ -119,9 +122,9 @@ class QualityModel:
 
     def probabilities(self, words: Words) -> np.ndarray:
         z = np.zeros(len(words.text_ends))
-        for table, (keys, edges) in zip(self.weights, _gram_keys(words)):
-            z += _sums(table[keys], edges) / np.maximum(np.diff(edges), 1)
-        return sigmoid(self.slope * z + self.offset)
+        for table, (keys, begins, ends) in zip(self.weights, _gram_keys(words)):
+            z += _sums(table[keys], begins, ends) / np.maximum(ends - begins, 1)
+        return sigmoid(np.round(self.slope * z + self.offset, 9))  # sums of one run end in other digits than those of another
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, epochs: int = 12, rate: float = 0.5, pull: float = 1e-6) -> QualityModel:

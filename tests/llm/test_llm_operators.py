@@ -218,6 +218,15 @@ def auc(score, truth):
     return (ranks[truth == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(truth) - n1))
 
 
+def test_quality_does_not_depend_on_the_partitioning(spark, odd):
+    from riskloom.llm.common import documents, labels
+
+    docs = documents(spark, SMALL)
+    model = quality_rules.fit_quality(docs, labels(spark, SMALL))
+    one, two = (by_id(quality_rules.apply_rules(docs.repartition(n), model)) for n in (1, 7))
+    assert one.keys() == two.keys() and all(one[i]["probability"] == pytest.approx(two[i]["probability"], abs=1e-8) and one[i]["kept"] == two[i]["kept"] for i in one)
+
+
 @pytest.mark.parametrize("name, label, fold, least", [("op4_quality_classifier", "quality", lambda c: c % 5 == 0, 0.97), ("op6_toxicity", "toxic", lambda c: c % 4 == 2, 0.75)])
 def test_held_out_accuracy(spark, name, label, fold, least):
     got = by_id(QUERIES[name](spark, SMALL))
@@ -331,6 +340,12 @@ def test_exact_duplicates_of_odd_rows(spark, odd):
     assert sorted(r["doc_id"] for r in exact_dedup.drop_exact_duplicates(twice).collect()) == [1, 2]
 
 
+def test_exact_duplicates_under_one_id(spark):
+    rows = [(1, "a b"), (1, "ab"), (2, "x"), (3, "a  b"), (4, "x "), (4, " x"), (None, "y"), (None, "y")]
+    left = sorted(map(tuple, exact_dedup.drop_exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert [r for r in left if r[0] != 4] == [(3, "a  b"), (None, "y")] and [r[0] for r in left].count(4) == 1 and len(left) == 3
+
+
 def test_frequent_keys_are_found_and_few(spark):
     from pyspark.sql import functions as F
 
