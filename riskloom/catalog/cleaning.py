@@ -167,3 +167,24 @@ def split_sink(spark, sf_dir):
     parts = [spark.read.parquet(p).agg(F.lit(n).alias("part"), F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
              for n, p in (("train", train), ("test", test))]
     return parts[0].unionByName(parts[1])
+
+
+_DIRTY = f"""{TXN_ORDERS_SEGMENT}, raw AS (SELECT DISTINCT CustomerId, CASE WHEN TransactionId % 9 > 0 THEN Amount END AS Amount,
+  CASE WHEN ProviderId NOT IN ('BUILDING', 'MACHINERY', 'FURNITURE') THEN ProviderId END AS ProviderId, CASE WHEN ChannelId <> 'P' THEN strftime(ts, '%Y-%m-%d') END AS "When",
+  CASE WHEN TransactionId % 5 > 0 THEN 'clerk ' || TransactionId % 37 END AS Clerk FROM txn),
+codes AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT coalesce(Clerk, 'Missing') AS v FROM raw)), med AS (SELECT median(Amount) AS a FROM raw)"""
+_DIRTY_SEGMENTS = ("AUTOMOBILE", "HOUSEHOLD", "Missing")
+
+
+@query(f"""WITH {_DIRTY} SELECT CustomerId, round(coalesce(Amount, a) + 1e-9, 4) + 0.0 AS Amount, "When", coalesce(Clerk, 'Missing') AS Clerk, code AS Clerk_code, """
+       + ", ".join(f"CAST(coalesce(ProviderId, 'Missing') = '{v}' AS BIGINT) AS \"ProviderId_{v}\"" for v in _DIRTY_SEGMENTS)
+       + """, CAST(coalesce(Amount, a) > 400000 AS BIGINT) AS target FROM raw JOIN codes ON v = coalesce(Clerk, 'Missing'), med""")
+def clean_dirty_table(spark, sf_dir):
+    """The whole cleaning sequence on a dirty extract: sentinels, unreadable dates, an almost empty column, copies, gaps, few and many text values."""
+    key = F.col("TransactionId")
+    raw = _raw_text_orders(spark, sf_dir).join(txn_orders(spark, sf_dir).select("TransactionId", "Amount"), "TransactionId").select(
+        "CustomerId", F.when(key % 9 > 0, F.col("Amount")).alias("Amount"), "ProviderId", "When",
+        F.when(key % 5 == 0, "N/A").otherwise(F.concat(F.lit("clerk "), (key % 37).cast("string"))).alias("Clerk"), F.when(key % 7 == 0, "note").otherwise("None").alias("Remark"))
+    cfg = C.CleanConfig(date_columns=("When",), target=lambda df: F.when(F.col("Amount") > 400000, 1).otherwise(0))
+    out = C.clean(raw.unionByName(raw.where("CustomerId % 3 = 0")), cfg)
+    return rounded(out.withColumn("When", F.date_format("When", "yyyy-MM-dd")))

@@ -17,7 +17,7 @@ from riskloom.operators.woe import Woe, bin_counts, information_values, iv_stren
 from riskloom.plans.dictionary import feature_dictionary as feature_dictionary_of
 from riskloom.plans.features import BASIC, FeatureConfig, build_features, fit_features
 from riskloom.session import materialize, scratch_path
-from riskloom.sources.tables import write_features
+from riskloom.sources.tables import read_table, write_features
 from riskloom.sources.transactions import txn_events, txn_lines, txn_orders
 
 
@@ -172,10 +172,13 @@ gaps AS (SELECT CustomerId, round(avg(gap) + 1e-9, 6) + 0.0 AS "TimeSinceLast_me
 
 @query(f"WITH {TXN_EVENTS} {_AGG_SQL}")
 def feature_sink(spark, sf_dir):
-    """Features and dictionary written side by side; the features read back."""
+    """Features and dictionary written side by side, and both read back."""
     table = A.customer_aggregates(txn_events(spark, sf_dir))
     names = feature_dictionary_of(spark, [(n, "aggregate") for n in table.columns if n != "CustomerId"], {})
-    features, _ = write_features(table, names, scratch_path(spark, "features"))
+    features, dictionary = write_features(table, names, scratch_path(spark, "features"))
+    back = read_table(spark, dictionary, names.schema).fillna("")  # empty cells of a csv are nulls
+    if back.exceptAll(names).count() or names.exceptAll(back).count():
+        raise ValueError("the dictionary that was read back is not the one written")
     return rounded(spark.read.parquet(features), **_SUMS)
 
 
@@ -327,6 +330,29 @@ _RANKED = f"""{_AMOUNTS}, r AS (SELECT *, row_number() OVER (ORDER BY s, Custome
 b AS (SELECT CustomerId, 'Amount_sum' AS feature, CAST(CAST(greatest(1, ceil((r - 1) * 4 / (n - 1))) AS BIGINT) AS VARCHAR) AS bin, HasFraud FROM r)"""
 
 
+_NAN_BINS = f"""{TXN_ORDERS}, b AS (SELECT CustomerId, 'Group' AS feature, CASE WHEN CustomerId % 7 < 2 THEN '__NA__' ELSE CustomerId % 3 || '.0' END AS bin, max(FraudResult) AS HasFraud FROM txn GROUP BY CustomerId)"""
+
+
+@query(f"WITH {_NAN_BINS}, {_WOE} SELECT feature, bin, round(good + 1e-9, 4) + 0.0 AS good, round(bad + 1e-9, 4) + 0.0 AS bad, round(woe + 1e-9, 4) + 0.0 AS woe, round(iv + 1e-9, 6) + 0.0 AS iv FROM w")
+def woe_missing_bin(spark, sf_dir):
+    """A number with few values, NaN and nulls: both are missing and share a bin."""
+    key = F.col("CustomerId")
+    group = F.when(key % 7 == 0, F.lit(float("nan"))).when(key % 7 == 1, None).otherwise((key % 3).cast("double"))
+    df = _labeled_amounts(spark, sf_dir).select("CustomerId", "HasFraud", group.alias("Group"))
+    return rounded(Woe(["Group"], "HasFraud", 5, "CustomerId").fit(materialize(df, "groups")).table, iv=6)
+
+
+@query(f"""WITH {TXN_ORDERS_SEGMENT}, a AS (SELECT CustomerId, round(sum(Amount) + 1e-9, 4) + 0.0 AS Amount_sum FROM txn GROUP BY CustomerId)
+SELECT CustomerId, Amount_sum, CAST(0 AS BIGINT) AS woe_columns, CAST(14 AS BIGINT) AS one_hot_columns FROM a""")
+def features_of_one_class(spark, sf_dir):
+    """A label with one class has no weight of evidence: the feature table comes without those columns."""
+    txn = txn_orders(spark, sf_dir, with_segment=True).withColumn("FraudResult", F.lit(0))
+    model = fit_features(txn, FeatureConfig(categories=_CATS, stage_input=True))
+    wide = model.features_of(model.base)
+    woe, hot = (sum(n.endswith("_woe") for n in wide.columns), len(model.encoder.feature_names))
+    return rounded(wide.select("CustomerId", "Amount_sum", F.lit(woe).alias("woe_columns"), F.lit(hot).alias("one_hot_columns")))
+
+
 @query(f"WITH {_RANKED}, {_WOE} SELECT feature, bin, round(good + 1e-9, 4) + 0.0 AS good, round(bad + 1e-9, 4) + 0.0 AS bad, round(woe + 1e-9, 4) + 0.0 AS woe, round(iv + 1e-9, 6) + 0.0 AS iv FROM w")
 def woe_numeric_bins(spark, sf_dir):
     """WoE of a numeric feature cut into rank quantiles."""

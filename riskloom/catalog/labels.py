@@ -9,7 +9,7 @@ from riskloom.functions.exprs import c
 from riskloom.operators import rfm as R
 from riskloom.operators.aggregate import customer_target
 from riskloom.operators.normalize import population_moments, standardized
-from riskloom.plans.labels import proxy_label
+from riskloom.plans.labels import basic_features as earlier_features, proxy_label
 from riskloom.session import scratch_path
 from riskloom.sources.tables import write_labels
 from riskloom.sources.transactions import txn_events, txn_orders
@@ -149,6 +149,20 @@ def cluster_centers(spark, sf_dir):
     return rounded(proxy_label(txn_orders(spark, sf_dir)).centers(), Monetary=2)
 
 
+_FM_DENSE = "fm AS (SELECT cluster FROM (SELECT cluster, -dense_rank() OVER (ORDER BY Frequency) - dense_rank() OVER (ORDER BY Monetary) AS score FROM ord) ORDER BY score DESC, cluster LIMIT 1)"
+
+
+@query(f"""{_CLUSTERS}, {_FM_DENSE}, lab AS (SELECT pt.*, list_position(d, list_min(d)) - 1 AS cluster FROM (SELECT pt.*, list_transform(lst.c, lambda m: {_D}) AS d FROM pt, lst) AS pt)
+SELECT CustomerId, round(Monetary + 1e-9, 2) + 0.0 AS Amount_sum, Frequency AS TransactionStartTime_count, CAST(cluster = (SELECT cluster FROM fm) AS BIGINT) AS is_high_risk,
+  'RFM clustering (KMeans) on transaction history' AS label_transformation FROM lab""")
+def basic_features(spark, sf_dir):
+    """The earlier feature set with its own label: snapshot a day later, frequency and monetary rule."""
+    features, dictionary = earlier_features(txn_orders(spark, sf_dir))
+    described = dictionary.where("Feature = 'is_high_risk'").select(F.col("Transformation").alias("label_transformation"))  # one row
+    out = features.select("CustomerId", "Amount_sum", "TransactionStartTime_count", "is_high_risk").withColumn("label_transformation", described.scalar())
+    return rounded(out, Amount_sum=2)
+
+
 @query("SELECT count(DISTINCT o_custkey) AS customers, CAST(3 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced, CAST(1 AS BIGINT) AS risky_clusters, CAST(0 AS BIGINT) AS drifted FROM orders")
 def kmeans_invariants(spark, sf_dir):
     """Every customer sits in the cluster with the nearest centre, centres are the means of their members, one cluster is risky."""

@@ -99,6 +99,20 @@ def response_checks(spark, sf_dir):
     return S.response_checks(_batch(spark, sf_dir))
 
 
+_BAD = f"""{_REQ}, g AS (SELECT * FROM b WHERE error IS NULL), k AS (SELECT CAST(customer_id AS BIGINT) % 50 AS k FROM g)"""
+_BAD_RULES = {"probability in [0, 1]": "k = 3", "predicted_class in {0, 1}": "k = 4", "risk_score in [0, 100]": "k IN (5, 6)", "recommendation present": "k = 7", "model present": "k = 8"}
+
+
+@query(f"WITH {_BAD} " + " UNION ALL ".join(f"SELECT '{r}' AS rule, count(*) FILTER ({_BAD_RULES.get(r, 'false')}) AS failures FROM k" for r in _RULES))
+def response_checks_of_bad_rows(spark, sf_dir):
+    """The same rules on responses that were spoilt on purpose."""
+    k = F.col("customer_id").cast("bigint") % 50
+    spoilt = _batch(spark, sf_dir).withColumns({
+        "probability": F.when(k == 3, 1.5).otherwise(F.col("probability")), "predicted_class": F.when(k == 4, 7).otherwise(F.col("predicted_class")),
+        "risk_score": F.when(k == 5, 101).when(k == 6, -1).otherwise(F.col("risk_score")), "recommendation": F.when(k != 7, F.col("recommendation")), "model": F.when(k != 8, F.col("model"))})
+    return S.response_checks(spoilt)
+
+
 @query(f"WITH {_REQ} {_SCORED}")
 def json_requests(spark, sf_dir):
     """Requests written as JSON records, read back and scored."""
@@ -117,6 +131,20 @@ def wide_csv_scoring(spark, sf_dir):
     return rounded(out.drop("model", "timestamp", "extra_features"), 6, Frequency=4, Amount_mean=4)
 
 
+_BLANKS = f"""{CUSTOMERS}, w AS (SELECT 'CUST_' || lpad(CAST(row_number() OVER (ORDER BY CustomerId) AS VARCHAR), CAST(greatest(4, length(CAST(row_number() OVER (ORDER BY CustomerId) AS VARCHAR))) AS INTEGER), '0') AS customer_id,
+  Frequency, Amount_mean, CustomerId % 8 = 3 AS blank, {_P} AS p FROM cust)"""
+
+
+@query(f"""WITH {_BLANKS} SELECT customer_id, CASE WHEN NOT blank THEN round(p + 1e-9, 6) + 0.0 END AS probability, CASE WHEN NOT blank THEN CAST(p >= 0.5 AS BIGINT) END AS predicted_class,
+  CASE WHEN blank THEN 'Missing required features: [Amount_mean]' END AS error, CASE WHEN NOT blank THEN round(Amount_mean + 1e-9, 4) + 0.0 END AS Amount_mean FROM w""")
+def wide_csv_blank_cells(spark, sf_dir):
+    """A csv without ids and with blank cells: rows are numbered, and blank features are missing ones."""
+    wide = customers(spark, sf_dir).orderBy("CustomerId").select("Frequency", F.when(F.col("CustomerId") % 8 != 3, F.col("Amount_mean")).alias("Amount_mean"))
+    path = write_table(wide.coalesce(1), scratch_path(spark, "wide") + ".csv")
+    out = S.score_wide(read_table(spark, path, "Frequency double, Amount_mean double"), SCORER)
+    return rounded(out.select("customer_id", "probability", "predicted_class", "error", "Amount_mean"), 6, Amount_mean=4)
+
+
 @query(f"WITH {_REQ} {_SCORED}")
 def score_stream(spark, sf_dir):
     """The same records scored by a stream over a folder of JSON files."""
