@@ -342,8 +342,8 @@ def woe_missing_bin(spark, sf_dir):
     return rounded(Woe(["Group"], "HasFraud", 5, "CustomerId").fit(materialize(df, "groups")).table, iv=6)
 
 
-@query(f"""WITH {TXN_ORDERS_SEGMENT}, a AS (SELECT CustomerId, round(sum(Amount) + 1e-9, 4) + 0.0 AS Amount_sum FROM txn GROUP BY CustomerId)
-SELECT CustomerId, Amount_sum, CAST(0 AS BIGINT) AS woe_columns, CAST(14 AS BIGINT) AS one_hot_columns FROM a""")
+@query(f"""WITH {TXN_ORDERS_SEGMENT}, a AS (SELECT CustomerId, round(sum(Amount) + 1e-9, 4) + 0.0 AS Amount_sum FROM txn GROUP BY CustomerId), m AS ({_modal_sql(_CATS)})
+SELECT CustomerId, Amount_sum, CAST(0 AS BIGINT) AS woe_columns, (SELECT count(DISTINCT ProductCategory) + count(DISTINCT ChannelId) + count(DISTINCT ProviderId) FROM m) AS one_hot_columns FROM a""")
 def features_of_one_class(spark, sf_dir):
     """A label with one class has no weight of evidence: the feature table comes without those columns."""
     txn = txn_orders(spark, sf_dir, with_segment=True).withColumn("FraudResult", F.lit(0))

@@ -73,9 +73,9 @@ def stratified_split(df: DataFrame, stratum: str, keys: list[str], test_frac: fl
     size = F.floor(F.col("total") * F.lit(test_frac))
     want = F.greatest(F.lit(1), size) if at_least_one else size
     cuts = _cut_points(_keyed(df, keys, seed, c(stratum)), [want], pivot_rows).drop("cut")
-    joined = freeze(cuts, "split-cuts").attach(df, c(stratum), "s")
-    is_test = F.col("threshold").isNotNull() & (row_hash(seed, keys) <= F.col("threshold"))
-    return joined.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("threshold")
+    joined = freeze(cuts.withColumnsRenamed({"s": "__s", "threshold": "__t"}), "split-cuts").attach(df, c(stratum), "__s")
+    is_test = F.col("__t").isNotNull() & (row_hash(seed, keys) <= F.col("__t"))
+    return joined.withColumn("split", F.when(is_test, "test").otherwise("train")).drop("__t")
 
 
 def random_split(df: DataFrame, keys: list[str], test_frac: float = 0.2, seed: int = 42, pivot_rows: int = PIVOT_ROWS) -> DataFrame:
@@ -98,8 +98,8 @@ def stratified_folds(df: DataFrame, label: str, keys: list[str], folds: int = 5,
     df = df.where(c(label).isNotNull())
     wanted = [F.floor(F.col("total") * F.lit(i) / F.lit(folds)) for i in range(1, folds)]
     cuts = _cut_points(_keyed(df, keys, seed, c(label)), wanted, pivot_rows)
-    per_class = freeze(cuts.groupBy("s").agg(F.array_sort(F.collect_list("threshold")).alias("__cuts")), "fold-cuts")  # folds - 1 each
-    tagged = per_class.attach(df, c(label), "s").withColumn("__h", row_hash(seed, keys))
+    per_class = freeze(cuts.groupBy(F.col("s").alias("__s")).agg(F.array_sort(F.collect_list("threshold")).alias("__cuts")), "fold-cuts")  # folds - 1 each
+    tagged = per_class.attach(df, c(label), "__s").withColumn("__h", row_hash(seed, keys))
     passed = F.filter("__cuts", lambda t: t < F.col("__h"))
     # classes smaller than the fold count have fewer cuts
     skipped = F.lit(folds - 1) - F.size("__cuts")

@@ -6,7 +6,7 @@ from oracle import compare, connect
 from riskloom.catalog import QUERIES, SQL
 
 SF = "/root/testdata/sf0.01"
-PLANNED = ["customer_aggregates", "temporal_features", "modal_categories", "rfm_orders", "woe_apply", "encode_categories", "roc_auc", "batch_score", "stratified_split_orders"]
+PLANNED = ["customer_aggregates", "temporal_features", "modal_categories", "rfm_orders", "woe_apply", "woe_several_apply", "encode_categories", "encode_many_categories", "modal_categories_many_values", "roc_auc", "batch_score", "stratified_split_orders"]
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, QUERIES[name], SQL[name], SF) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"leaderboard", "run_log"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_rows_only_queries_have_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
@@ -62,7 +62,13 @@ def test_customer_branches_join_without_further_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     shuffles = plan.count("Exchange hashpartitioning")
-    assert shuffles == 1 + 3 + 3, plan  # aggregates; times, hours, customers; combinations, values, customers
+    assert shuffles == 1 + 3, plan  # aggregates with modal categories; times, hours, customers
+
+
+@pytest.mark.parametrize("name", ["woe_apply", "woe_several_apply", "encode_many_categories"])
+def test_frozen_maps_need_no_join(spark, name):
+    plan = _plan(spark, QUERIES[name](spark, SF))
+    assert "Join" not in plan, plan
 
 
 def test_raw_rows_are_never_sorted_per_customer(spark):
