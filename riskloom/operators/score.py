@@ -26,6 +26,9 @@ RECOMMENDATIONS = {
     "HIGH": "Reject - High risk of default",
 }
 DEFAULT_RECOMMENDATION = "Review required"
+# fixed values: beginnings of the error texts
+MISSING_FEATURES = "Missing required features: "
+EMPTY_FEATURES = "Input contains NaN values for features: "
 RESPONSE_FIELDS = ("probability", "predicted_class", "risk_category", "risk_score", "recommendation", "customer_id", "model", "timestamp")
 
 
@@ -118,8 +121,8 @@ def check_requests(requests: DataFrame, features: list[str]) -> DataFrame:
     given = F.coalesce(F.map_keys("features"), F.array().cast("array<string>"))
     missing = F.array_except(required, given)
     empty = F.filter(required, lambda n: F.element_at("features", n).isNull() | F.isnan(F.element_at("features", n)))
-    error = F.when(F.size(missing) > 0, F.concat(F.lit("Missing required features: "), _names(missing)))
-    error = error.when(F.size(empty) > 0, F.concat(F.lit("Input contains NaN values for features: "), _names(empty)))
+    error = F.when(F.size(missing) > 0, F.concat(F.lit(MISSING_FEATURES), _names(missing)))
+    error = error.when(F.size(empty) > 0, F.concat(F.lit(EMPTY_FEATURES), _names(empty)))
     if "_corrupt_record" in requests.columns:
         error = F.when(F.col("_corrupt_record").isNotNull(), F.lit("Malformed record")).otherwise(error)
     return requests.withColumns({"error": error, "extra_features": F.array_except(given, required)})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,21 +67,26 @@ def txn_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def synthetic_transactions(spark: SparkSession, n: int = 1_000, customers: int = 100, seed: int = 42) -> DataFrame:
-    """Log-normal amounts, hourly times and a 5 % label, generated in parallel."""
-    def pick(options: list[str], salt: int):
-        draw = F.floor(F.rand(seed + salt) * len(options)).cast("int") + 1
-        return F.element_at(F.array(*[F.lit(o) for o in options]), draw)
+@dataclass(frozen=True)
+class SyntheticShape:
+    """What made-up transactions look like: spread of the log-normal measures, seconds between rows, values of the categories, share of the label."""
+
+    amount: tuple[float, float] = (3.0, 1.0)  # mean and deviation of the logarithm
+    value: tuple[float, float] = (2.5, 0.8)
+    start: str = "2020-06-01 08:30:00"
+    seconds_apart: int = 1_800
+    categories: tuple[tuple[str, tuple[str, ...]], ...] = (
+        ("ProductCategory", ("airtime", "transport", "utilities")), ("ChannelId", ("phone", "shop")), ("ProviderId", ("north", "south", "east", "west")))
+    label_share: float = 0.04
 
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+
+def synthetic_transactions(spark: SparkSession, n: int = 1_000, customers: int = 80, seed: int = 1, shape: SyntheticShape = SyntheticShape()) -> DataFrame:
+    """Transactions of ``customers`` customers in turn, made up in parallel; the same seed gives the same rows."""
+    first = F.unix_micros(F.lit(shape.start).cast("timestamp"))
+    measure = lambda spread, salt: F.exp(spread[0] + spread[1] * F.randn(seed + salt))
+    texts = [F.get(F.array(*[F.lit(v) for v in values]), F.floor(F.rand(seed + 10 + i) * len(values)).cast("int")).alias(name) for i, (name, values) in enumerate(shape.categories)]
     return spark.range(n).select(
-        F.format_string("TXN_%06d", "id").alias("TransactionId"),
-        F.format_string("CUST_%03d", F.pmod("id", F.lit(customers))).alias("CustomerId"),
-        F.exp(4 + 1.5 * F.randn(seed)).alias("Amount"),
-        F.exp(3 + 1.2 * F.randn(seed + 1)).alias("Value"),
-        F.timestamp_micros(F.unix_micros(start) + F.col("id") * 3_600_000_000).alias("TransactionStartTime"),
-        pick(["A", "B", "C", "D"], 2).alias("ProductCategory"),
-        pick(["Web", "Mobile", "In-Store"], 3).alias("ChannelId"),
-        pick(["P1", "P2", "P3", "P4", "P5"], 4).alias("ProviderId"),
-        (F.rand(seed + 5) < 0.05).cast("int").alias("FraudResult"),
-    )
+        F.concat(F.lit("t"), "id").alias("TransactionId"), F.concat(F.lit("c"), F.col("id") % customers).alias("CustomerId"),
+        measure(shape.amount, 0).alias("Amount"), measure(shape.value, 1).alias("Value"),
+        F.timestamp_micros(first + F.col("id") * (shape.seconds_apart * 1_000_000)).alias("TransactionStartTime"),
+        *texts, (F.rand(seed + 2) < shape.label_share).cast("int").alias("FraudResult"))

@@ -12,7 +12,7 @@ from riskloom.operators.normalize import pruned_columns
 from riskloom.operators.temporal import days_since_previous, temporal_features, velocity
 from riskloom.operators.woe import Woe
 from riskloom.plans.features import BASIC, FeatureConfig, fit_features
-from riskloom.sources.transactions import synthetic_transactions
+from riskloom.sources.transactions import SyntheticShape, synthetic_transactions
 
 GOLDEN = {
     "C1": {
@@ -199,7 +199,7 @@ def test_woe_numeric_bins_follow_first_ranks(spark):
 
 
 def test_synthetic_transactions(spark):
-    txn = synthetic_transactions(spark, 2_000)
+    txn = synthetic_transactions(spark, 2_000, customers=100, shape=SyntheticShape(label_share=0.1))
     row = txn.agg(F.count("*").alias("n"), F.count_distinct("CustomerId").alias("c"), F.min("Amount").alias("lo"), F.avg("FraudResult").alias("y"),
                   F.count_distinct("ProviderId").alias("p")).first()
-    assert row["n"] == 2_000 and row["c"] == 100 and row["lo"] > 0 and row["p"] == 5 and 0.02 < row["y"] < 0.09
+    assert row["n"] == 2_000 and row["c"] == 100 and row["lo"] > 0 and row["p"] == 4 and 0.07 < row["y"] < 0.13
