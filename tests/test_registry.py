@@ -65,7 +65,7 @@ def test_customer_branches_join_without_further_exchange(spark):
     assert shuffles == 1 + 3, plan  # aggregates with modal categories; times, hours, customers
 
 
-@pytest.mark.parametrize("name", ["woe_apply", "woe_several_apply", "encode_many_categories"])
+@pytest.mark.parametrize("name", ["woe_several_apply", "encode_many_categories"])
 def test_frozen_maps_need_no_join(spark, name):
     plan = _plan(spark, QUERIES[name](spark, SF))
     assert "Join" not in plan, plan
