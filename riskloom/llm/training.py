@@ -23,6 +23,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Colu
     return narrow(docs, id_col, text_col).join(F.broadcast(marks), "doc_id")  # at most ``limit`` rows
 
 
+def lowest_hashes(df: DataFrame, hash_col: str, limit: int) -> int:
+    """The bound below which at most ``limit`` rows (nearly as many, if there are more) have their 64-bit hash.
+
+    Rows are counted by the hash's leading bits, 4,096 counts a round, and the group that goes past the limit is counted again by its next bits,
+    so no task merges the chosen rows. Rows of equal hashes are taken or left together. The bound is above every hash if all rows fit.
+    """
+    low, taken, rows = -(1 << 63), 0, df.select(c(hash_col).alias("h"))
+    for shift in range(52, -1, -12):
+        counts = {r["b"]: r["n"] for r in rows.groupBy(F.shiftright("h", shift).alias("b")).agg(F.count("*").alias("n")).collect()}
+        past = None
+        for b in sorted(counts):
+            if taken + counts[b] > limit:
+                past = b
+                break
+            taken += counts[b]
+        if past is None:
+            return (1 << 63) - 1 if shift == 52 else low
+        low = past << shift
+        if taken >= 0.9 * limit:
+            break
+        rows = rows.where(F.shiftright("h", shift) == past)
+    return low
+
+
 def collect_features(sample: DataFrame, encode: Callable[[list[bytes]], list[bytes]]) -> list[tuple[bytes, int]]:
     """Features (packed by ``encode``, on the executors) and labels of the sample, in the order of the ids' hashes.
 

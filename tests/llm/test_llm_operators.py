@@ -13,6 +13,7 @@ import pytest
 from oracle import compare, connect
 from riskloom.llm import bpe, classifier, context_mixing, exact_dedup, licenses, mixing, near_dedup, pii, quality_rules, toxicity
 from riskloom.llm.queries import QUERIES, SQL
+from riskloom.llm.training import lowest_hashes
 
 TINY, SMALL = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -418,6 +419,45 @@ def test_obfuscated_personal_data_is_added(spark):
     assert not any(s["kind"] == "card" for s in got[10**6 + 10]["spans"]) and not got[10**6 + 11]["spans"], added
 
 
+PLANTED = {
+    "email": ["jane.roe at example dot org", "bob(at)example.org", "kim.lee [at] mail [dot] example [dot] com", "josé@example.com", "ann_b at firm dot net", "x.y.z(at)host-a.edu"],
+    "ip": ["10[.]20[.]30[.]40", "172[.]16[.]254[.]1"],
+    "card": ["4111.1111.1111.1111", "5500/0000/0000/0004", "4012.8888.8888.1881", "3530.1113.3330.0000"],
+    "phone": ["001 (499) 555-6503", "0049 30 5550 1234", "001 663 555 6868", "(499) 555-6503 12", "499-555-6503", "212.555.0187"],
+}
+ORDINARY = ["look at the dot on the page", "ref (12) 345678 was closed", "we met at the dot com office", "a total of 4111.1111.1111.1112 units", "someone@nowhere wrote", "pages 10[.]20[.]999[.]40 of it",
+            "arrive at noon dot then leave", "he stood at a dot in the middle", "item 0077672059906506 sold", "nr 9807915762804490 of the list", "version 10:20:30:40 of it"]
+
+
+def test_planted_formats_are_added_and_ordinary_text_is_not(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    planted = [(10**6 + i, kind, f"you can reach them by {v} or not") for i, (kind, v) in enumerate((k, v) for k in PLANTED for v in PLANTED[k])]
+    plain = [(2 * 10**6 + i, t) for i, t in enumerate(ORDINARY)]
+    got = by_id(pii.find_personal_data(docs.union(spark.createDataFrame([(i, t) for i, _, t in planted] + plain, docs.schema))))
+    for kind, values in PLANTED.items():
+        missed = [t for (i, k, t), v in zip([p for p in planted if p[1] == kind], values) if not any(s["kind"] == kind and s["start"] <= t.index(v) and s["end"] >= t.index(v) + len(v) for s in got[i]["spans"])]
+        assert len(missed) <= 0.1 * len(values), (kind, missed, [(k, t, got[i]["spans"]) for i, k, t in planted if k == kind])
+    assert [(t, got[i]["spans"]) for i, t in plain if got[i]["spans"]] == []
+    for i, _, t in planted:
+        ends = sorted((s["start"], s["end"]) for s in got[i]["spans"])
+        assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:])), (t, got[i]["spans"])
+    added = [(i, s) for i, r in got.items() if i < 10**6 for s in r["spans"] if not s["base"]]
+    texts = dict(docs.where(docs.doc_id.isin([i for i, _ in added])).collect())
+    assert all(s["kind"] == "card" and plain_ok("card", texts[i][s["start"]:s["end"]]) for i, s in added), [(s, texts[i][s["start"]:s["end"]]) for i, s in added]
+
+
+def test_lowest_hashes_bound_the_sample(spark):
+    rows = spark.range(5000).selectExpr("xxhash64(id) AS h")
+    every = sorted(r["h"] for r in rows.collect())
+    for limit in (0, 1, 700, 4999):
+        bound = lowest_hashes(rows, "h", limit)
+        assert 0.9 * limit <= sum(h < bound for h in every) <= limit
+    assert lowest_hashes(rows, "h", 5000) > every[-1] and lowest_hashes(rows.limit(0), "h", 5) > every[-1]
+    narrow = spark.range(3000).selectExpr("id div 3 AS h")  # all in one group until the last bits, three rows to a value
+    bound = lowest_hashes(narrow, "h", 100)
+    assert 90 <= narrow.where(f"h < {bound}").count() <= 100
+
+
 def test_personal_data_stays_in_the_jvm(spark):
     plan = pii.personal_data_digest(spark.read.parquet(f"{TINY}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
