@@ -197,9 +197,9 @@ def _known_tails(found: DataFrame) -> list[str]:
     """The listed last parts, and those of at least a share of the accepted addresses (so no more than its inverse)."""
     tail = F.lower(F.regexp_extract("value", "[A-Za-z]+$", 0))
     counts = found.where(F.col("ok") & (F.col("kind") == "email")).groupBy(tail.alias("tail")).agg(F.count("*").alias("n"))
-    of_all = counts.agg(F.sum("n").alias("of"))
-    common = counts.join(F.broadcast(of_all), F.col("n") >= F.col("of") * TAIL_SHARE).where(F.length("tail") > 0)
-    return sorted({*TAILS, *(r["tail"] for r in common.select("tail").collect())})
+    of_all = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    common = counts.where((F.col("n") >= of_all * TAIL_SHARE) & (F.length("tail") > 0))
+    return sorted({*TAILS, *(r["tail"] for r in common.collect())})
 
 
 def _thresholds(scored: DataFrame) -> dict[str, float]:
