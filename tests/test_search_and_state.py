@@ -204,3 +204,23 @@ def test_run_log_survives_repeats_and_broken_appends(spark, tmp_path):
     assert runlog.read_run_log(spark, path).count() == 1
     assert runlog.append_run_log(two, path, "x") and not runlog.append_run_log(two, path, "x")
     assert {r["value"] for r in runlog.read_run_log(spark, path).collect()} == {"logistic", "forest"} and runlog.commits(spark, path).count() == 2
+
+
+def test_judged_forests_grow_in_pieces(spark, table, monkeypatch):
+    """Deep forests are judged by their own votes: their nodes never come to the driver as rows, and it grows few trees at a time."""
+    monkeypatch.setattr(compiled, "read_ensemble", None)
+    monkeypatch.setattr(T, "TREES_PER_FIT", 4)
+    weighted, n = T.with_balanced_weights(table, "is_high_risk")
+    tries = T._combinations({"trees": [3, 10], "depth": [None, 2]})
+    found = T.cross_validate(weighted, "is_high_risk", ["CustomerId"], T.prep_stages(["x", "noise"], ["cat"]), "random_forest", tries, n, folds=2).collect()
+    assert {(r["setting"], r["fold"]) for r in found} == {(i, k) for i in range(4) for k in range(2)} and min(r["roc_auc"] for r in found) > 0.6
+    prep = Pipeline(stages=T.prep_stages(["x", "noise"], ["cat"])).fit(weighted)
+    rows = prep.transform(weighted).select("is_high_risk", "weight", "features").coalesce(1).persist()
+    test = materialize(prep.transform(weighted).select(F.col("CustomerId").alias("row"), F.col("is_high_risk").alias("label"), "features"), "rows")
+    est = T._classifier("random_forest", "is_high_risk")
+    wide, (few, all_) = T.forest_scores(est, rows, test, [3, 10])
+    assert T._pieces([3, 10]) == [(0, 3), (3, 4), (4, 8), (8, 10)]
+    first = est.copy({est.numTrees: 3}).fit(rows).transform(test).select("row", vector_to_array("probability")[1].alias("want"))
+    worst = wide.withColumns({"few": few, "all": all_}).join(first, "row").agg(F.max(F.abs(F.col("few") - F.col("want"))), F.min("all"), F.max("all"), F.count("*")).first()
+    rows.unpersist()
+    assert worst[0] < 1e-12 and 0 <= worst[1] < 0.5 < worst[2] <= 1 and worst[3] == 400
