@@ -213,10 +213,15 @@ def modal_categories(spark, sf_dir):
     return A.modal_categories(txn_orders(spark, sf_dir, with_segment=True), list(_CATS))
 
 
+def _modes_of_lines(spark, sf_dir, categories):
+    """Lines are a join and modes read them several times: the needed columns are written once."""
+    return A.modal_categories(materialize(txn_lines(spark, sf_dir).select("CustomerId", *categories), "line-categories"), categories)
+
+
 @query(f"WITH {TXN_LINES} {_modal_sql(('ProductCategory', 'ProviderId'))}")
 def modal_categories_many_values(spark, sf_dir):
     """The same for a column with few and one with many values."""
-    return A.modal_categories(txn_lines(spark, sf_dir), ["ProductCategory", "ProviderId"])
+    return _modes_of_lines(spark, sf_dir, ["ProductCategory", "ProviderId"])
 
 
 _KEYED = f"""{TXN_LINES}, k AS (SELECT *, CustomerId % 40 AS g FROM txn)"""
@@ -233,7 +238,7 @@ def encode_many_categories(spark, sf_dir):
 
 
 def _customer_categories(spark, sf_dir):
-    return materialize(A.modal_categories(txn_lines(spark, sf_dir), ["ProductCategory", "ChannelId"]), "categories")
+    return materialize(_modes_of_lines(spark, sf_dir, ["ProductCategory", "ChannelId"]), "categories")
 
 
 _LINE_MODES = f"WITH {TXN_LINES}, m AS ({_modal_sql(('ProductCategory', 'ChannelId'))})"

@@ -203,3 +203,21 @@ def test_synthetic_transactions(spark):
     row = txn.agg(F.count("*").alias("n"), F.count_distinct("CustomerId").alias("c"), F.min("Amount").alias("lo"), F.avg("FraudResult").alias("y"),
                   F.count_distinct("ProviderId").alias("p")).first()
     assert row["n"] == 2_000 and row["c"] == 100 and row["lo"] > 0 and row["p"] == 4 and 0.07 < row["y"] < 0.13
+
+
+def test_modes_of_lines_join_once(spark, tmp_path, monkeypatch):
+    """The lines' join with orders and parts is made once, whatever the number of passes over the categories."""
+    from riskloom.catalog import QUERIES
+    from riskloom.functions import joins
+
+    d = str(tmp_path)
+    spark.range(400).selectExpr("id % 90 AS l_orderkey", "id % 7 AS l_partkey", "id % 70 AS l_suppkey", "1.0D AS l_extendedprice", "0.0D AS l_discount", "'A' AS l_returnflag").write.parquet(f"{d}/lineitem.parquet")
+    spark.range(90).selectExpr("id AS o_orderkey", "id % 9 AS o_custkey", "DATE'2020-01-01' AS o_orderdate").write.parquet(f"{d}/orders.parquet")
+    spark.range(7).selectExpr("id AS p_partkey", "concat('b', id) AS p_brand").write.parquet(f"{d}/part.parquet")
+    measured = []
+    plain = joins.hot_keys
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df, *a: False)
+    monkeypatch.setattr(joins, "hot_keys", lambda df, key: measured.append(df._jdf.queryExecution().optimizedPlan().toString()) or plain(df, key))
+    got = QUERIES["modal_categories_many_values"](spark, d)
+    assert got.count() == 9 and len(measured) >= 2 and not any("Join" in plan for plan in measured)
+    assert "orders.parquet" not in got._jdf.queryExecution().optimizedPlan().toString() and not any("orders.parquet" in f for f in got.inputFiles())
