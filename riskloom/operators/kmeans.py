@@ -9,15 +9,19 @@ aggregate gives each start's cost; the cheapest start wins, the first of equals.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.exprs import c, row_hash
 
 GRID = 1_000_000  # steps per unit of a coordinate
-COMPILED_ROWS = 1_000_000
+COMPILED_ROWS = 50_000  # more rows are assigned as arrays
+SPREAD_ROWS = 1_000_000  # fewer rows may come in one partition
 SEED_ROWS = 64  # rows per start that the seeding reads at first
 Center = tuple[float, ...]
 
@@ -49,14 +53,34 @@ def nearest(point: list[Column], centers: list[Center]) -> Column:
     return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")
 
 
-def _turns(point: list[Column], centers: list[list[Center]], starts: list[int], compiled: bool) -> Column:
-    """(start, cluster) of the row for each start.
-
-    As constants in generated code, which pays for many rows; for few rows the centres are one literal, so that an iteration needs no new code. The sums
-    are the same, term by term.
-    """
-    if compiled:
-        return F.array(*[F.struct(F.lit(s).alias("start"), nearest(point, centers[s]).alias("cluster")) for s in starts])
+def _sums_of_batches(points: DataFrame, coords: list[str], centers: list[list[Center]], starts: list[int]) -> DataFrame:
+    """``start, cluster, n`` and coordinate sums of each task's rows, whole arrays at a time. The distances are those of ``squared_distance``, term by term; sums are of whole numbers."""
+    k = len(centers[0])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((len(starts), k, 1 + len(coords)), dtype=np.int64)
+        for batch in batches:
+            x = np.stack([np.ones(batch.num_rows, dtype=np.int64), *[col.to_numpy() for col in batch.columns]])
+            values = x[1:].astype(float)
+            for i, s in enumerate(starts):
+                away = []
+                for m in centers[s]:
+                    total = (values[0] - m[0]) * (values[0] - m[0])
+                    for v, at in zip(values[1:], m[1:]):
+                        total = total + (v - at) * (v - at)
+                    away.append(total)
+                own = np.argmin(away, axis=0)  # the first of equals
+                for j in range(k):
+                    found[i, j] += x[:, own == j].sum(axis=1)
+        i, j = np.nonzero(found[:, :, 0])
+        columns = [np.array(starts, dtype=np.int32)[i], j.astype(np.int32), *found[i, j].T]
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], ["start", "cluster", "n", *coords])
+
+    return points.select(*[c(n) for n in coords]).mapInArrow(work, "start int, cluster int, n long, " + ", ".join(f"`{n}` long" for n in coords))
+
+
+def _turns(point: list[Column], centers: list[list[Center]], starts: list[int]) -> Column:
+    """(start, cluster) of the row for each start; the centres are one literal, so that an iteration needs no new code."""
     held = F.from_json(F.lit(json.dumps([{"start": s, "m": centers[s]} for s in starts])), "array<struct<start: int, m: array<array<double>>>>")
     values = [p.cast("double") for p in point]
 
@@ -104,8 +128,11 @@ def fit(points: DataFrame, coords: list[str], key: str, k: int, seed: int = 42,
     columns = [c(n) for n in coords]
     while moving and done < max_iterations:
         done += 1
-        turns = _turns(columns, centers, sorted(moving), rows > COMPILED_ROWS)
-        sums = points.select(*coords, F.inline(turns)).groupBy("start", "cluster").agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in coords])
+        if rows > COMPILED_ROWS:
+            parts = _sums_of_batches(points, coords, centers, sorted(moving))
+        else:
+            parts = points.select(F.inline(_turns(columns, centers, sorted(moving))), F.lit(1).alias("n"), *coords)
+        sums = parts.groupBy("start", "cluster").agg(*[F.sum(n).alias(n) for n in ("n", *coords)])
         found = {(r["start"], r["cluster"]): r for r in sums.collect()}  # starts x clusters rows
         for s in sorted(moving):
             new = [tuple(found[s, j][n] / found[s, j]["n"] for n in coords) if (s, j) in found else centers[s][j] for j in range(k)]

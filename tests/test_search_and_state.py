@@ -224,3 +224,12 @@ def test_judged_forests_grow_in_pieces(spark, table, monkeypatch):
     worst = wide.withColumns({"few": few, "all": all_}).join(first, "row").agg(F.max(F.abs(F.col("few") - F.col("want"))), F.min("all"), F.max("all"), F.count("*")).first()
     rows.unpersist()
     assert worst[0] < 1e-12 and 0 <= worst[1] < 0.5 < worst[2] <= 1 and worst[3] == 400
+
+
+def test_many_points_are_assigned_as_arrays(spark, monkeypatch):
+    """Iterations over many rows never evaluate expressions per start: code of ten starts is too long to be compiled."""
+    monkeypatch.setattr(kmeans, "COMPILED_ROWS", 0)
+    monkeypatch.setattr(kmeans, "_turns", None)
+    df = spark.createDataFrame([(i, (i % 3) * 5_000_000 + i, (i % 2) * 1_000) for i in range(120)], "id long, `a.b` long, y long").withColumnRenamed("a.b", "x")
+    found = kmeans.fit(df, ["x", "y"], "id", 3, seed=7)
+    assert sorted(round(m[0] / 5_000_000) for m in found.centers) == [0, 1, 2] and found.iterations < 20
