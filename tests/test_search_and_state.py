@@ -1,5 +1,7 @@
 """Model search, compiled models, k-means, radix splits, packed maps, hot keys and the run log."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
@@ -233,3 +235,15 @@ def test_many_points_are_assigned_as_arrays(spark, monkeypatch):
     df = spark.createDataFrame([(i, (i % 3) * 5_000_000 + i, (i % 2) * 1_000) for i in range(120)], "id long, `a.b` long, y long").withColumnRenamed("a.b", "x")
     found = kmeans.fit(df, ["x", "y"], "id", 3, seed=7)
     assert sorted(round(m[0] / 5_000_000) for m in found.centers) == [0, 1, 2] and found.iterations < 20
+
+
+def test_models_share_folds_and_runs_of_trees_grow_side_by_side(spark, table, monkeypatch):
+    """Preparation is fitted once per fold and once for the refits, whatever the models; no run of trees waits for another run of its forest."""
+    fits, together, write, fit = [], threading.Barrier(4, timeout=120), T.materialize, T.TabularPrep._fit
+    monkeypatch.setattr(T, "TREES_PER_FIT", 2)
+    monkeypatch.setattr(T.TabularPrep, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+    monkeypatch.setattr(T, "materialize", lambda df, name: (name == "votes" and together.wait(), write(df, name))[1])
+    grids = {"random_forest": {"trees": [2, 4], "depth": [2]}, "logistic": {"C": [0.1, 1]}, "gradient_boosting": {"rate": [0.1], "trees": [1, 2]}}
+    models = T.train_all(table, grids=grids, folds=2)
+    assert [m.name for m in models] == list(grids) and [sorted((s, f) for s, f, _ in m.fold_scores) for m in models] == [[(0, 0), (0, 1), (1, 0), (1, 1)]] * 3
+    assert len(fits) == 3
