@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from oracle import compare, connect
-from riskloom.llm import bpe, classifier, context_mixing, exact_dedup, licenses, mixing, near_dedup, pii, quality_rules, toxicity
+from riskloom.llm import bpe, classifier, common, context_mixing, exact_dedup, licenses, mixing, near_dedup, pii, quality_rules, toxicity
 from riskloom.llm.queries import QUERIES, SQL
 from riskloom.llm.training import lowest_hashes
 
@@ -324,6 +324,25 @@ def test_language_model_of_odd_rows(spark, odd):
     assert {(r["n_known"], r["train_tokens"]) for r in context_mixing.score_texts(alone).collect()} == {(0, 0)}
 
 
+def test_language_model_learns_from_all_words_and_texts(spark, monkeypatch):
+    """Every training word moves weights and refinement by all its times, in whichever piece; states are found on all texts, however rows are dealt."""
+    common.ship_package(spark)
+    monkeypatch.setattr(context_mixing, "PIECE_WORDS", 40)
+    words = [(b"\x01" + f"word{i * i}".encode(), 1 + i % 7) for i in range(150)]
+    vocabulary = spark.createDataFrame([(bytearray(w), c) for w, c in [*words, (b"\x01unseen", 0)]], "word binary, c long")
+    zeros = np.zeros(int(context_mixing._OFFSETS[-1]), dtype=np.float32)
+    pieces = context_mixing._learn(vocabulary, zeros, zeros, len(words))
+    bits = sum(8 * len(w) * c for w, c in words)  # the state's byte is not spelled, the space is
+    assert len(pieces) == 4 and math.isclose(sum(p.seen.sum() for p in pieces), bits, rel_tol=1e-5)
+    assert math.isclose(sum(p.met.sum() for p in pieces), bits * context_mixing.passes_of(len(words)), rel_tol=1e-5)
+    texts = spark.createDataFrame([(i, ["abc cab", "xyz zyx", "mnop"][i % 3] + " q" * (i % 2)) for i in range(2_400)] + [(-1, "")], "doc_id long, text string")
+    found = [context_mixing.find_states(texts.repartition(n)) for n in (1, 5)]
+    assert (found[0] == found[1]).all()
+    x = np.array([context_mixing.letter_shares(t.encode().split()) for _, t in texts.collect()])
+    own = ((x[:, None] - found[0]) ** 2).sum(axis=2).argmin(axis=1)
+    assert len(set(own)) == 7 and all(np.allclose(x[own == k].mean(axis=0), found[0][k], atol=1e-3) for k in range(7))
+
+
 # ---- exact duplicates, mixing ----------------------------------------------------------------------------------------------------
 
 
