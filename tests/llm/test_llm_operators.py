@@ -392,6 +392,30 @@ def test_mixing_comes_near_its_targets(spark):
     assert all(abs(taken[s] - target[s]) <= largest[s] + 1 for s in target)
 
 
+def test_lm_tables_travel_compressed_and_are_built_alike():
+    import pickle
+    rng, size = np.random.default_rng(5), int(context_mixing._OFFSETS[-1])
+    zeros, ones = np.zeros(size, dtype=np.float32), np.zeros(size, dtype=np.float32)
+    words = [bytes([k % 8]) + w + b" " for w in (b"alpha", b"alpine", b"beta") for k in range(8)]
+    context_mixing.bit_counts(words, rng.integers(1, 9, len(words)), zeros, ones)
+    sent = pickle.dumps(context_mixing.Sent(context_mixing.Inputs.of, zeros, ones))
+    assert len(sent) < 2_000_000  # 71 MB as arrays, on the disk of the driver and of every executor
+    built, own = pickle.loads(sent).built, context_mixing.Inputs.of(zeros, ones)
+    assert np.array_equal(built.stretched, own.stretched) and np.array_equal(built.trust, own.trust)
+    slots = rng.integers(0, size, 1_000)
+    for bit in (0, 1):
+        n0, n1 = np.maximum(zeros[slots] - (bit == 0), 0), np.maximum(ones[slots] - (bit == 1), 0)
+        assert np.allclose(own.stretched[2 * slots + bit], np.log((n1 + 0.2) / (n0 + 0.2)), atol=1e-5)
+
+
+def test_lm_bytes_of_one_beginning_are_spelled_once():
+    words = [bytes([g]) + w + b" " for g in (0, 3) for w in (b"counting", b"counts", b"count", b"", b"other")]
+    each, once = context_mixing.Spelled.of(words), context_mixing.Spelled.of(words, once=True)
+    assert once.slots.shape[1] < 0.7 * each.slots.shape[1]
+    pick = (8 * once.spelled[:, None] + np.arange(8)).reshape(-1)
+    assert np.array_equal(once.slots[:, pick], each.slots) and all(np.array_equal(getattr(once, n)[pick], getattr(each, n)) for n in ("bits", "places", "states"))
+
+
 # ---- personal data ---------------------------------------------------------------------------------------------------------------
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
